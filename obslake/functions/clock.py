@@ -31,11 +31,11 @@ def floor_to_minutes(c: str | Column, minutes: int) -> Column:
     return ts - past
 
 
-def days_since(c: str | Column, start: Column) -> Column:
-    """Days, with fraction, from the midnight of date ``start`` to an instant (or to a date's midnight)."""
+def day_fraction(c: str | Column) -> Column:
+    """Share of its day that has passed at an instant; 0 for a date."""
     ts = col(c).cast("timestamp_ntz")
-    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return F.datediff(ts.cast("date"), start) + seconds / F.lit(86400.0)
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
+    return seconds / F.lit(86400.0)
 
 
 def days_between(lo: str | Column, hi: str | Column) -> Column:

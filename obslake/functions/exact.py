@@ -1,40 +1,64 @@
 """Order-independent arithmetic.
 
 Sums of doubles depend on the order in which partitions arrive, so the same job can give two answers.
-Readings carry at most four decimals; adding them as decimals is exact and still a plain hash aggregate
-with map-side combine.  A NaN reading makes the total NaN, as it would in a sum of doubles.
+Readings carry at most four decimals; they are added as whole numbers of 1/10000 ("ticks"), which is
+exact in any order, fits a mutable hash-aggregate buffer and needs no decimal objects.  A total may
+reach 9e14 units; beyond that the sum raises an overflow instead of losing digits.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-EXACT = "decimal(18,4)"
-ROUNDING = "decimal(38,9)"
+SCALE_DIGITS = 4
+SCALE = 10 ** SCALE_DIGITS
 NAN = float("nan")
 
+# Doubles below this keep nine decimals through one multiplication.
+_FAST_LIMIT = 9.0e6
+_GUARD_DIGITS = 9
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dec(c: str | Column) -> Column:
-    """The reading as an exact decimal; NaN and infinities give NULL."""
-    return col(c).try_cast(EXACT)
+def ticks(c: str | Column) -> Column:
+    """The reading as a whole number of ticks; NaN and infinities give NULL."""
+    return F.rint(col(c) * float(SCALE)).try_cast("bigint")
+
+
+def amount(total: Column) -> Column:
+    """A number of ticks as a double."""
+    return total.cast("double") / float(SCALE)
+
+
+def mean(total: Column, count: Column) -> Column:
+    """Mean of ``count`` readings that add up to ``total`` ticks, NULL where there is none."""
+    return F.try_divide(amount(total), count.cast("double"))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient of two aggregates as a double, NULL on a zero or missing denominator."""
+    """Quotient as a double, NULL on a zero or missing denominator."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def _half_up(units: Column, drop: int) -> Column:
+    """Drop the last ``drop`` decimal digits of an integer, halves away from zero."""
+    if drop == 0:
+        return units
+    half = F.when(units < 0, F.lit(-(10 ** drop) // 2)).otherwise(F.lit(10 ** drop // 2))
+    return F.call_function("div", units + half, F.lit(10 ** drop).cast("bigint"))
+
+
 def dround(c: str | Column, digits: int) -> Column:
-    """Round half up on the decimal value, so that both engines agree on halves."""
-    value = col(c)
-    rounded = F.round(value.try_cast(ROUNDING), digits).cast("double")
-    return F.when(F.isnan(value), value.cast("double")).otherwise(rounded)
+    """Round half up on the decimal value (2.675 gives 2.68), whatever its binary form."""
+    x = col(c)
+    fast = _half_up(F.rint(x * 10.0 ** _GUARD_DIGITS).cast("bigint"), _GUARD_DIGITS - digits) / F.lit(10.0 ** digits)
+    slow = F.round(x.try_cast(f"decimal(38,{_GUARD_DIGITS})"), digits).cast("double")
+    return F.when(F.abs(x) < _FAST_LIMIT, fast).when(F.isnan(x), x.cast("double")).otherwise(slow)
 
 
-def round_exact(c: str | Column, digits: int) -> Column:
-    """Round a value that is already a decimal."""
-    return F.round(col(c), digits).cast("double")
+def round_ticks(total: Column, digits: int) -> Column:
+    """Round an exact total, halves away from zero."""
+    return _half_up(total, SCALE_DIGITS - digits) / F.lit(10.0 ** digits)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from obslake.functions.clock import days_since
+from obslake.functions.clock import day_fraction
 from obslake.functions.exact import col
 from obslake.operators.numbering import global_row_number
-from obslake.schema import EVENT_RULES, RAMP_DAYS, WINDOW_SCHEMA, EventRule
+from obslake.schema import EVENT_RULES, EVENT_WINDOWS, RAMP_DAYS, WINDOW_SCHEMA, EventRule
+from obslake.session import literal_rows
 
 EVENT_ORDER = ("date_local", "station_id", "event_type")
 
@@ -37,44 +38,47 @@ def extreme_events(daily: DataFrame, rules: Sequence[EventRule] = EVENT_RULES) -
     return numbered.select("event_id", *[c for c in numbered.columns if c != "event_id"])
 
 
-def event_windows(spark, rows) -> DataFrame:
-    return spark.createDataFrame(rows, WINDOW_SCHEMA)
+def event_windows(spark: SparkSession, rows=EVENT_WINDOWS) -> DataFrame:
+    return literal_rows(spark, rows, WINDOW_SCHEMA)
 
 
-def _weight(at: str | Column, w: Column, ramp_days: int) -> Column:
-    """1 within the window, linear ramps outside, 0 beyond; an instant past the end's midnight ramps."""
-    after_start, after_end = days_since(at, w["start"]), days_since(at, w["end"])
-    return (
-        F.when((after_start >= 0) & (after_end <= 0), 1.0)
-        .when((after_start < 0) & (after_start >= -ramp_days), 1.0 + after_start / ramp_days)
-        .when((after_end > 0) & (after_end <= ramp_days), 1.0 - after_end / ramp_days)
-        .otherwise(0.0)
-    )
+def window_days(windows: DataFrame, ramp_days: int = RAMP_DAYS) -> DataFrame:
+    """The summed anomalies of every day some window reaches, as ``level + slope * share of the day``.
+
+    A window's weight is 1 between its ends and ramps linearly over ``ramp_days`` before and after (its
+    end is a midnight, so the last day already ramps down).  Within any one day that is a straight line,
+    and so is the sum over overlapping windows: six numbers per day hold all there is to know.
+    """
+    if ramp_days < 1:
+        raise ValueError("ramp_days must be at least 1")
+    reach = F.sequence(F.date_sub("start", ramp_days), F.date_add("end", ramp_days - 1))
+    days = windows.withColumn("_day", F.explode(reach))
+    before, after = F.datediff("start", "_day"), F.datediff("_day", "end")
+    days = days.withColumns({
+        "_level": F.when(before > 0, 1.0 - before / F.lit(float(ramp_days)))
+                   .when(after > 0, 1.0 - after / F.lit(float(ramp_days))).otherwise(1.0),
+        "_slope": F.when(before > 0, 1.0 / ramp_days).when(after >= 0, -1.0 / ramp_days).otherwise(0.0),
+    })
+    effects = {
+        "temp_anomaly": F.col("temp_anomaly_c"), "humidity_anomaly": F.col("humidity_anomaly_pct"),
+        "precip_multiplier": F.col("precip_multiplier") - 1.0,
+    }
+    return days.groupBy("_day").agg(*[
+        F.sum(F.col(part) * effect).alias(f"{part}_{name}")
+        for name, effect in effects.items() for part in ("_level", "_slope")])
 
 
 def event_window_factors(
     df: DataFrame, windows: DataFrame, at: str | Column = "observation_ts", ramp_days: int = RAMP_DAYS,
 ) -> DataFrame:
-    """Add the summed anomalies of the event windows around each instant.
+    """Add the summed anomalies of the event windows at each instant.
 
-    The windows are spread over the days they reach, which turns the range join into an equi-join on the
-    day.  That table has a row per day and holds a day's windows in start order, so no row of ``df`` is
-    repeated and nothing needs to be aggregated back.
+    The range join becomes an equi-join on the day with a table of one row per day, so no row of ``df``
+    is repeated or shuffled.
     """
-    reach = F.sequence(F.date_sub("start", ramp_days), F.date_add("end", ramp_days))
-    fields = ["start", "end", "temp_anomaly_c", "humidity_anomaly_pct", "precip_multiplier"]
-    by_day = (
-        windows.select(F.explode(reach).alias("_day"), F.struct(*fields).alias("w"))
-        .groupBy("_day").agg(F.sort_array(F.collect_list("w")).alias("_windows"))
-    )
-    joined = df.withColumn("_day", col(at).cast("date")).join(F.broadcast(by_day), "_day", "left")
-    active = F.coalesce(F.col("_windows"), F.array().cast(by_day.schema["_windows"].dataType))
-
-    def summed(start: float, factor) -> Column:
-        return F.aggregate(active, F.lit(start), lambda acc, w: acc + _weight(at, w, ramp_days) * factor(w))
-
-    return joined.withColumns({
-        "temp_anomaly": summed(0.0, lambda w: w["temp_anomaly_c"]),
-        "humidity_anomaly": summed(0.0, lambda w: w["humidity_anomaly_pct"]),
-        "precip_multiplier": summed(1.0, lambda w: w["precip_multiplier"] - 1.0),
-    }).drop("_day", "_windows")
+    share = day_fraction(at)
+    joined = df.withColumn("_day", col(at).cast("date")).join(
+        F.broadcast(window_days(windows, ramp_days)), "_day", "left")
+    return joined.select(*df.columns, *[
+        (F.lit(rest) + F.coalesce(F.col(f"_level_{name}") + F.col(f"_slope_{name}") * share, F.lit(0.0))).alias(name)
+        for name, rest in [("temp_anomaly", 0.0), ("humidity_anomaly", 0.0), ("precip_multiplier", 1.0)]])

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obslake.functions.clock import days_between
-from obslake.functions.exact import dec, dround, ratio
+from obslake.functions.exact import SCALE, dround, mean, ticks
 from obslake.schema import FORECAST_HORIZON, FORECAST_TARGETS
 
 MODEL_NAME = "additive trend + yearly seasonality"
@@ -68,13 +68,16 @@ class AdditiveModel:
         # Gaussian priors on level, slope (sd 5) and seasonality (sd 10); Laplace on the slope changes.
         penalty = np.concatenate([[1 / 25, 1 / 25], np.zeros(count), np.full(2 * self.order, 1 / 100)])
         hinge = slice(2, 2 + count)
-        noise, change = float(np.var(target)) + 1e-6, np.full(count, 0.1)
+        noise, change, power = float(np.var(target)) + 1e-6, np.full(count, 0.1), float(target @ target)
         for _ in range(self.iterations):
             penalty[hinge] = 1.0 / (self.changepoint_scale * (np.abs(change) + 1e-4))
-            self.theta = np.linalg.solve(gram + noise * np.diag(penalty) + 1e-10 * np.eye(len(penalty)), moment)
-            change = self.theta[hinge]
-            noise = float(np.mean((target - x @ self.theta) ** 2)) + 1e-9
-        self.noise, self.change = noise, change
+            theta = np.linalg.solve(gram + np.diag(noise * penalty + 1e-10), moment)
+            residual = power - 2.0 * (theta @ moment) + theta @ gram @ theta
+            settled = noise
+            change, noise = theta[hinge], max(float(residual), 0.0) / len(target) + 1e-9
+            if abs(noise - settled) <= 1e-6 * noise:
+                break
+        self.theta, self.noise, self.change = theta, noise, change
         return self
 
     def predict(self, day: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,13 +160,13 @@ def _future(ends: DataFrame, horizon: int) -> DataFrame:
 def linear_trend(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int = 6) -> DataFrame:
     """Least-squares line per series, continued over the horizon; the sums are exact."""
     origin = dt.date(1970, 1, 1)
-    x = F.datediff("ds", F.lit(origin)).cast("decimal(18,0)")
-    y = dec("y")
+    x = F.datediff("ds", F.lit(origin)).cast("bigint")
+    y = ticks("y")
     sums = series.groupBy(*SERIES).agg(
         F.max("ds").alias("_end"), F.count("*").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
-        F.sum((x * x).cast("decimal(18,0)")).alias("sxx"), F.sum((x * y).cast("decimal(24,4)")).alias("sxy"))
-    n, sx, sy, sxx, sxy = (F.col(c).cast("double") for c in ("n", "sx", "sy", "sxx", "sxy"))
-    # The centred forms lose no digits the data has: means first, then the two moments.
+        F.sum(x * x).alias("sxx"), F.sum(x * y).alias("sxy"))
+    n, sx, sxx = (F.col(c).cast("double") for c in ("n", "sx", "sxx"))
+    sy, sxy = (F.col(c).cast("double") / float(SCALE) for c in ("sy", "sxy"))
     line = sums.select(
         *SERIES, "_end", (sx / n).alias("_mx"), (sy / n).alias("_my"),
         F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx).alias("slope"))
@@ -174,14 +177,19 @@ def linear_trend(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int
 
 
 def seasonal_naive(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int = 4) -> DataFrame:
-    """Mean of the same day of the year over the years before; NULL where no year has the day."""
-    ends = series.groupBy(*SERIES).agg(F.max("ds").alias("_end"))
-    future = _future(ends, horizon).withColumn("_md", F.date_format("forecast_date", "MMdd"))
-    by_day = series.groupBy(*SERIES, F.date_format("ds", "MMdd").alias("_md")).agg(
-        F.sum(dec("y")).alias("_s"), F.count("y").alias("_n"))
-    return future.join(by_day, [*SERIES, "_md"], "left").select(
-        *SERIES, "forecast_date", dround(ratio(F.col("_s"), F.col("_n")), digits).alias("forecast_value"),
-        F.coalesce("_n", F.lit(0)).alias("n_years"))
+    """Mean of the same day of the year over the years before; NULL where no year has the day.
+
+    A series folds to its days of the year first (at most 366), and carries them to its future dates.
+    """
+    by_day = series.groupBy(*SERIES, (F.month("ds") * 100 + F.dayofmonth("ds")).alias("md")).agg(
+        F.sum(ticks("y")).alias("s"), F.count("y").alias("n"), F.max("ds").alias("_d"))
+    folded = by_day.groupBy(*SERIES).agg(
+        F.max("_d").alias("_end"), F.map_from_entries(F.collect_list(F.struct("md", F.struct("s", "n")))).alias("_days"))
+    same = F.try_element_at("_days", F.month("forecast_date") * 100 + F.dayofmonth("forecast_date"))
+    future = _future(folded, horizon).withColumn("_same", same)
+    return future.select(
+        *SERIES, "forecast_date", dround(mean(F.col("_same.s"), F.col("_same.n")), digits).alias("forecast_value"),
+        F.coalesce("_same.n", F.lit(0)).alias("n_years"))
 
 
 def require_some(forecast: DataFrame) -> DataFrame:

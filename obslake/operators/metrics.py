@@ -8,15 +8,16 @@ measures on the few rows that come out.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from obslake.functions.exact import dec, ratio
+from obslake.functions.exact import amount, mean, ratio, ticks
 from obslake.operators import timeintel as ti
 from obslake.operators.numbering import dense_rank_desc, top_with_ties
 from obslake.schema import FORECAST_TARGETS, SEVERE_DEFICIT_MM
+from obslake.session import cut_lineage, literal_rows
 
 Make = Callable[["Context"], Column]
 
@@ -41,14 +42,17 @@ class Context:
 
     blank_as_zero: bool = True
 
-    def dec(self, state: str) -> Column:
+    def count(self, state: str) -> Column:
         return F.col(state)
 
-    def num(self, state: str) -> Column:
+    def value(self, state: str) -> Column:
         return F.col(state).cast("double")
 
+    def total(self, state: str) -> Column:
+        return amount(F.col(state))
+
     def mean(self, total: str, count: str) -> Column:
-        return ratio(F.col(total), F.col(count))
+        return mean(F.col(total), F.col(count))
 
     def days(self, state: str = "cur_n") -> Column:
         return F.nullif(F.col(state), F.lit(0))
@@ -67,7 +71,7 @@ def _base_states() -> dict[str, Callable[[Column | None], Column]]:
         return c if flag is None else F.when(flag, c)
 
     def total(c: str):
-        return lambda flag: F.sum(keep(dec(c), flag))
+        return lambda flag: F.sum(keep(ticks(c), flag))
 
     def whole(c: str):
         return lambda flag: F.sum(keep(F.col(c), flag))
@@ -114,16 +118,16 @@ _CELSIUS, _MM, _COUNT, _SHARE = '0.0 "°C"', '#,0.0 "mm"', "#,0", "0.0 %"
 _DELTA, _DELTA_SHARE, _MM_DAY = '+0.0 "°C";-0.0 "°C";0', "+0.0 %;-0.0 %;0", '0.00 "mm/día"'
 
 define("temp_avg", "Temp Promedio", _CORE, _CELSIUS, "Mean of the daily mean temperatures", *_temp("cur"))
-define("temp_max", "Temp Máxima", _CORE, _CELSIUS, "Highest daily maximum", ["cur_t_max"], lambda c: c.num("cur_t_max"))
-define("temp_min", "Temp Mínima", _CORE, _CELSIUS, "Lowest daily minimum", ["cur_t_min"], lambda c: c.num("cur_t_min"))
+define("temp_max", "Temp Máxima", _CORE, _CELSIUS, "Highest daily maximum", ["cur_t_max"], lambda c: c.value("cur_t_max"))
+define("temp_min", "Temp Mínima", _CORE, _CELSIUS, "Lowest daily minimum", ["cur_t_min"], lambda c: c.value("cur_t_min"))
 define("humidity_avg", "Humedad Promedio", _CORE, '0.0 "%"', "Mean of the daily mean humidities",
        ["cur_h_sum", "cur_h_n"], lambda c: c.mean("cur_h_sum", "cur_h_n"))
 define("precip_sum", "Precipitación Acumulada", _CORE, _MM, "Rain, added over days and stations",
-       ["cur_p_sum"], lambda c: c.num("cur_p_sum"))
+       ["cur_p_sum"], lambda c: c.total("cur_p_sum"))
 define("etp_sum", "ETP Acumulada", _CORE, _MM, "Reference evapotranspiration, added over days and stations",
-       ["cur_e_sum"], lambda c: c.num("cur_e_sum"))
+       ["cur_e_sum"], lambda c: c.total("cur_e_sum"))
 define("balance_sum", "Balance Hídrico", _CORE, _MM, "Rain less evapotranspiration; negative is a deficit",
-       ["cur_b_sum"], lambda c: c.num("cur_b_sum"))
+       ["cur_b_sum"], lambda c: c.total("cur_b_sum"))
 define("n_days", "Días con Datos", _CORE, _COUNT, "Station-days with data", ["cur_n"], lambda c: c.days())
 
 for _key, _state, _name, _text in [
@@ -132,9 +136,9 @@ for _key, _state, _name, _text in [
     ("windy_days", "windy", "Días con Vientos Fuertes", "Days flagged as windy"),
     ("uv_days", "uv", "Días con UV Crítico", "Days flagged for extreme UV"),
 ]:
-    define(_key, _name, _EXTREME, _COUNT, _text, [f"cur_{_state}"], lambda c, s=f"cur_{_state}": c.dec(s))
+    define(_key, _name, _EXTREME, _COUNT, _text, [f"cur_{_state}"], lambda c, s=f"cur_{_state}": c.count(s))
 define("hot_days_share", "% Días con Calor Extremo", _EXTREME, _SHARE, "Hot days per day with data",
-       ["cur_hot", "cur_n"], lambda c: ratio(c.dec("cur_hot"), c.days()))
+       ["cur_hot", "cur_n"], lambda c: ratio(c.count("cur_hot"), c.days()))
 
 define("temp_avg_ly", "Temp Promedio AA", _TIME, _CELSIUS, "Mean temperature, same days last year", *_temp("ly"))
 define("temp_delta_ly", "Δ Temp vs AA", _TIME, _DELTA, "Mean temperature less that of last year",
@@ -145,27 +149,27 @@ define("temp_delta_ly_share", "Δ Temp vs AA %", _TIME, _DELTA_SHARE, "That diff
        lambda c: F.try_divide(c.minus(c.mean("cur_t_sum", "cur_t_n"), c.mean("ly_t_sum", "ly_t_n")),
                               c.mean("ly_t_sum", "ly_t_n")))
 define("precip_sum_ly", "Precip Acum AA", _TIME, _MM, "Rain, same days last year",
-       ["ly_p_sum"], lambda c: c.num("ly_p_sum"))
+       ["ly_p_sum"], lambda c: c.total("ly_p_sum"))
 define("precip_ratio_ly", "Multiplicador Lluvia vs AA", _TIME, '0.0 "x"', "Rain as a multiple of last year's",
-       ["cur_p_sum", "ly_p_sum"], lambda c: ratio(c.dec("cur_p_sum"), c.dec("ly_p_sum")))
+       ["cur_p_sum", "ly_p_sum"], lambda c: ratio(c.total("cur_p_sum"), c.total("ly_p_sum")))
 define("temp_ytd", "Temp YTD", _TIME, _CELSIUS, "Mean temperature since 1 January (mean of days)", *_temp("ytd"))
-define("precip_ytd", "Precip YTD", _TIME, _MM, "Rain since 1 January", ["ytd_p_sum"], lambda c: c.num("ytd_p_sum"))
+define("precip_ytd", "Precip YTD", _TIME, _MM, "Rain since 1 January", ["ytd_p_sum"], lambda c: c.total("ytd_p_sum"))
 define("etp_ytd", "ETP YTD", _TIME, _MM, "Evapotranspiration since 1 January",
-       ["ytd_e_sum"], lambda c: c.num("ytd_e_sum"))
+       ["ytd_e_sum"], lambda c: c.total("ytd_e_sum"))
 
 define("precip_nino", "Lluvia en Período Niño", _ENSO, _MM, "Rain on El Niño days",
-       ["nino_p_sum"], lambda c: c.num("nino_p_sum"))
+       ["nino_p_sum"], lambda c: c.total("nino_p_sum"))
 define("precip_normal", "Lluvia en Período Normal", _ENSO, _MM, "Rain on days without El Niño",
-       ["normal_p_sum"], lambda c: c.num("normal_p_sum"))
+       ["normal_p_sum"], lambda c: c.total("normal_p_sum"))
 define("temp_anomaly", "Anomalía Temp vs Promedio Histórico", _ENSO, _DELTA,
        "Mean temperature less the mean of all days without El Niño",
        ["cur_t_sum", "cur_t_n", "hist_t_sum", "hist_t_n"],
        lambda c: c.minus(c.mean("cur_t_sum", "cur_t_n"), c.mean("hist_t_sum", "hist_t_n")))
 
 define("etp_per_day", "ETP Diaria Promedio", _WATER, _MM_DAY, "Evapotranspiration per day with data",
-       ["cur_e_sum", "cur_n"], lambda c: ratio(c.dec("cur_e_sum"), c.days()))
+       ["cur_e_sum", "cur_n"], lambda c: ratio(c.total("cur_e_sum"), c.days()))
 define("precip_per_day", "Lluvia Diaria Promedio", _WATER, _MM_DAY, "Rain per day with data",
-       ["cur_p_sum", "cur_n"], lambda c: ratio(c.dec("cur_p_sum"), c.days()))
+       ["cur_p_sum", "cur_n"], lambda c: ratio(c.total("cur_p_sum"), c.days()))
 define("deficit_days", "Días con Déficit Hídrico Severo", _WATER, _COUNT, "Days in severe water deficit",
        ["cur_deficit"], lambda c: c.days("cur_deficit"))
 define("deficit_days_share", "% Días con Déficit Severo", _WATER, _SHARE, "Those days per day with data",
@@ -181,7 +185,7 @@ IRRIGATION_CRITICAL = "🔴 Riego intensivo crítico"
 
 
 def _advice(c: Context) -> Column:
-    per_day = ratio(c.dec("cur_b_sum"), c.days())
+    per_day = ratio(c.total("cur_b_sum"), c.days())
     shown = F.coalesce(per_day, F.lit(0.0)) if c.blank_as_zero else per_day
     text = F.lit(IRRIGATION_CRITICAL)
     for bound, advice in reversed(IRRIGATION_ADVICE):
@@ -196,7 +200,7 @@ _FC = {"table": "fact_forecast"}
 define("forecast_temp", "Forecast Temp", _FORECAST, _CELSIUS, "Mean of the forecast temperatures",
        ["fc_t_sum", "fc_t_n"], lambda c: c.mean("fc_t_sum", "fc_t_n"), **_FC)
 define("forecast_etp", "Forecast ETP", _FORECAST, _MM, "Forecast evapotranspiration over the horizon",
-       ["fc_e_sum"], lambda c: c.num("fc_e_sum"), **_FC)
+       ["fc_e_sum"], lambda c: c.total("fc_e_sum"), **_FC)
 define("forecast_temp_lower", "Forecast Temp Lower", _FORECAST, _CELSIUS, "Lower end of the 80 % band",
        ["fc_lo_sum", "fc_lo_n"], lambda c: c.mean("fc_lo_sum", "fc_lo_n"), **_FC)
 define("forecast_temp_upper", "Forecast Temp Upper", _FORECAST, _CELSIUS, "Upper end of the 80 % band",
@@ -322,32 +326,38 @@ def evaluate_forecast(forecast: DataFrame, metrics: Sequence[str], by: Sequence[
     sources = {"fc_t": of(temp, "forecast_value"), "fc_e": of(etp, "forecast_value"),
                "fc_lo": of(temp, "forecast_lower_80"), "fc_hi": of(temp, "forecast_upper_80")}
     specs = [CATALOGUE[m] for m in metrics]
-    states = [e for k, c in sources.items() for e in (F.sum(dec(c)).alias(f"{k}_sum"), F.count(c).alias(f"{k}_n"))]
+    states = [e for k, c in sources.items() for e in (F.sum(ticks(c)).alias(f"{k}_sum"), F.count(c).alias(f"{k}_n"))]
     grouped = forecast.groupBy(*by).agg(*states)
     return grouped.select(*by, *[s.make(Context()).alias(s.key) for s in specs])
 
 
-def _station_contexts(daily, stations, metric, date_keys, calendar, names) -> DataFrame:
-    """The measure for every station in every date context; stations without data have NULL."""
-    values = evaluate(daily, [metric], ["station_id", *date_keys], calendar)
+def _station_contexts(daily, stations, metrics, date_keys, calendar, names) -> DataFrame:
+    """The measures for every station in every date context; stations without data have NULL."""
+    values = evaluate(daily, list(metrics), ["station_id", *date_keys], calendar)
+    places = stations.select("station_id", *names)
     if not date_keys:
-        return stations.select("station_id", *names).join(values, "station_id", "left")
+        return places.join(values, "station_id", "left")
     # A context table has at most a row per calendar day, so each station can carry it.
     contexts = values.agg(F.collect_set(F.struct(*date_keys))).scalar()
-    grid = stations.select("station_id", *names).withColumn("_c", F.explode(contexts))
-    grid = grid.select("station_id", *names, *[F.col(f"_c.{k}").alias(k) for k in date_keys])
+    grid = places.withColumn("_c", F.explode(contexts)).select(
+        "station_id", *names, *[F.col(f"_c.{k}").alias(k) for k in date_keys])
     return grid.join(values, ["station_id", *date_keys], "left")
 
 
 def rank_stations(
-    daily: DataFrame, stations: DataFrame, metric: str, rank: str, date_keys: Sequence[str] = (),
+    daily: DataFrame, stations: DataFrame, ranks: Mapping[str, str], date_keys: Sequence[str] = (),
     calendar: DataFrame | None = None, names: Sequence[str] = ("station_name",),
 ) -> DataFrame:
-    """Dense rank of every station by a measure, highest first; no data ranks as 0."""
-    values = _station_contexts(daily, stations, metric, date_keys, calendar, names)
-    ranked = dense_rank_desc(
-        values.withColumn("_value", F.coalesce(metric, F.lit(0.0))), date_keys, "_value", rank)
-    return ranked.select("station_id", *names, *date_keys, metric, F.col(rank).cast("bigint").alias(rank))
+    """Dense rank of every station by each measure (``{measure: rank column}``), highest first.
+
+    All stations are ranked within a date context; one without data ranks as 0.  The measures are
+    computed once and kept, since ranking reads them again.
+    """
+    ranked = cut_lineage(_station_contexts(daily, stations, ranks, date_keys, calendar, names))
+    ranked = ranked.withColumns({f"_v_{m}": F.coalesce(m, F.lit(0.0)) for m in ranks})
+    for metric, rank in ranks.items():
+        ranked = dense_rank_desc(ranked, date_keys, f"_v_{metric}", rank)
+    return ranked.select("station_id", *names, *date_keys, *[c for pair in ranks.items() for c in pair])
 
 
 def hottest_station(
@@ -394,4 +404,5 @@ def with_display(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
 def metrics_catalog(spark: SparkSession) -> DataFrame:
     """The measures with their display names, formats, folders and texts."""
     rows = [(s.table, s.key, s.name, s.folder, s.format, s.description) for s in CATALOGUE.values()]
-    return spark.createDataFrame(rows, "table string, key string, name string, folder string, format string, description string")
+    fields = ["table", "key", "name", "folder", "format", "description"]
+    return literal_rows(spark, rows, T.StructType([T.StructField(f, T.StringType()) for f in fields]))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obslake.functions.clock import date_id
-from obslake.functions.exact import NAN, dec, dround, ratio, round_exact
-from obslake.schema import DAY_FLAGS, STATION_SCHEMA, STATIONS, STEPS_PER_DAY
+from obslake.functions.exact import NAN, amount, dround, mean, round_ticks, ticks
+from obslake.schema import COMPASS, DAY_FLAGS, STATION_SCHEMA, STATIONS, STEPS_PER_DAY
+from obslake.session import literal_rows
 
 OBSERVATION_COLUMNS = [
     "temp_out_c", "humidity_pct", "dew_point_c", "wind_speed_kmh", "wind_gust_kmh", "wind_dir", "pressure_hpa",
@@ -23,7 +24,7 @@ def dim_station(spark: SparkSession, rows=STATIONS) -> DataFrame:
     ids = [r[0] for r in rows]
     if len(set(ids)) != len(ids):
         raise ValueError("station_id must be unique")
-    return spark.createDataFrame(rows, STATION_SCHEMA)
+    return literal_rows(spark, rows, STATION_SCHEMA)
 
 
 def fact_observations(silver: DataFrame) -> DataFrame:
@@ -38,72 +39,96 @@ def fact_observations(silver: DataFrame) -> DataFrame:
 _SUMMED = ["temp_out_c", "humidity_pct", "wind_speed_kmh", "precip_mm", "solar_wm2", "etp_mm", "pressure_hpa"]
 _HIGHEST = ["temp_out_c", "humidity_pct", "wind_gust_kmh", "solar_wm2", "uv_index", "heat_index_c", "thsw_index_c"]
 _LOWEST = ["temp_out_c", "humidity_pct"]
+_DAY = ["station_id", "date_local"]
 
 
-def _partial_states(obs: DataFrame) -> list[Column]:
+def _day_states() -> list[Column]:
     states = [F.count("*").alias("n"), F.count("quality_flag").alias("n_flagged"),
               F.count_if(F.col("precip_mm") > 0).alias("n_rain")]
     for c in _SUMMED:
-        states += [F.sum(dec(c)).alias(f"sum_{c}"), F.count(c).alias(f"cnt_{c}"),
+        states += [F.sum(ticks(c)).alias(f"sum_{c}"), F.count(c).alias(f"cnt_{c}"),
                    F.bool_or(F.isnan(c)).alias(f"nan_{c}")]
     states += [F.max(c).alias(f"max_{c}") for c in _HIGHEST]
     return states + [F.min(c).alias(f"min_{c}") for c in _LOWEST]
 
 
-def _merge(name: str) -> Column:
-    how = {"max": F.max, "min": F.min, "nan": F.bool_or}.get(name.split("_")[0], F.sum)
-    return how(name).alias(name)
+def _prevailing_listed(points: Sequence[str]) -> Column:
+    """Most frequent of the listed directions, the first in alphabetical order on a tie.
+
+    Refuses the one case in which a direction outside the list could have won.
+    """
+    counts = {p: F.col(f"dir_{p}") for p in sorted(points)}
+    most, listed = F.greatest(*counts.values()), sum(counts.values(), F.lit(0))
+    unlisted = F.col("n_dir") - listed
+    winner = F.lit(None).cast("string")
+    for point, count in reversed(counts.items()):
+        winner = F.when(count == most, F.lit(point)).otherwise(winner)
+    refuse = F.raise_error(F.lit("wind directions outside the list are too frequent; pass directions=None"))
+    return F.when(unlisted >= F.greatest(most, F.lit(1)), refuse.cast("string")).when(most > 0, winner)
+
+
+def _prevailing_any(obs: DataFrame) -> DataFrame:
+    """Most frequent direction of each day for any set of labels, folded before it is compared."""
+    counted = obs.filter(F.col("wind_dir").isNotNull()).groupBy(*_DAY, "wind_dir").agg(F.count("*").alias("n"))
+    order = F.struct(-F.col("n"), F.col("wind_dir"))
+    return counted.groupBy(*_DAY).agg(F.min_by("wind_dir", order).alias("wind_dominant_dir"))
 
 
 def fact_daily_summary(
     obs: DataFrame, expected_per_day: int = STEPS_PER_DAY, flags: Mapping[str, float] = DAY_FLAGS,
+    directions: Sequence[str] | None = COMPASS,
 ) -> DataFrame:
     """One row per station and day with 29 columns.
 
-    Readings are first folded per wind direction, all in one hash aggregate with map-side combine; the
-    day's row then merges those few states.  The prevailing direction falls out of the second step
-    without holding the directions of a day in memory (ties go to the first in alphabetical order).
+    All readings fold in one hash aggregate with map-side combine, so a station-day leaves each task as
+    one row of numbers.  The prevailing direction is a count per compass point in the same aggregate;
+    with ``directions=None`` any label is counted, in a second narrow aggregate.
     """
-    keys = ["station_id", "date_local"]
-    partial = obs.groupBy(*keys, "wind_dir").agg(*_partial_states(obs))
-    merged = [c for c in partial.columns if c not in (*keys, "wind_dir")]
-    prevalence = F.when(F.col("wind_dir").isNotNull(), F.struct(-F.col("n"), F.col("wind_dir")))
-    day = partial.groupBy(*keys).agg(
-        *[_merge(c) for c in merged], F.min_by("wind_dir", prevalence).alias("wind_dominant_dir"))
+    states = _day_states()
+    if directions is not None:
+        states += [F.count("wind_dir").alias("n_dir")]
+        states += [F.count_if(F.col("wind_dir") == p).alias(f"dir_{p}") for p in directions]
+    day = obs.groupBy(*_DAY).agg(*states)
+    if directions is None:
+        day = day.join(_prevailing_any(obs), _DAY, "left")
+        prevailing = F.col("wind_dominant_dir")
+    else:
+        prevailing = _prevailing_listed(directions)
 
     s, n, hi, lo = (lambda c, p=p: F.col(f"{p}_{c}") for p in ("sum", "cnt", "max", "min"))
 
     def or_nan(c: str, value: Column) -> Column:
         return F.when(F.col(f"nan_{c}"), F.lit(NAN)).otherwise(value)
 
-    def mean(c: str, digits: int) -> Column:
-        return or_nan(c, dround(ratio(s(c), n(c)), digits))
+    def average(c: str, digits: int) -> Column:
+        return or_nan(c, dround(mean(s(c), n(c)), digits))
 
     def total(c: str, digits: int) -> Column:
-        return or_nan(c, round_exact(s(c), digits))
+        return or_nan(c, round_ticks(s(c), digits))
 
     def above(value: Column, flag: str) -> Column:
         return F.when(value > flags[flag], 1).otherwise(0).alias(flag)
 
+    balance = round_ticks(s("precip_mm") - s("etp_mm"), 2)
     return day.select(
-        *keys, date_id("date_local").alias("date_id"),
-        mean("temp_out_c", 2).alias("temp_avg_c"),
+        *_DAY, date_id("date_local").alias("date_id"),
+        average("temp_out_c", 2).alias("temp_avg_c"),
         dround(hi("temp_out_c"), 2).alias("temp_max_c"), dround(lo("temp_out_c"), 2).alias("temp_min_c"),
         dround(hi("temp_out_c") - lo("temp_out_c"), 2).alias("temp_amplitude_c"),
-        mean("humidity_pct", 1).alias("humidity_avg_pct"),
+        average("humidity_pct", 1).alias("humidity_avg_pct"),
         dround(lo("humidity_pct"), 0).alias("humidity_min_pct"), dround(hi("humidity_pct"), 0).alias("humidity_max_pct"),
-        mean("wind_speed_kmh", 1).alias("wind_avg_kmh"), dround(hi("wind_gust_kmh"), 1).alias("wind_gust_max_kmh"),
-        "wind_dominant_dir",
+        average("wind_speed_kmh", 1).alias("wind_avg_kmh"), dround(hi("wind_gust_kmh"), 1).alias("wind_gust_max_kmh"),
+        prevailing.alias("wind_dominant_dir"),
         total("precip_mm", 2).alias("precip_total_mm"), F.col("n_rain").alias("rainy_intervals"),
         dround(hi("solar_wm2"), 0).alias("solar_max_wm2"),
-        or_nan("solar_wm2", dround(s("solar_wm2").cast("double") / float(expected_per_day), 0)).alias("solar_daily_avg_wm2"),
+        or_nan("solar_wm2", dround(amount(s("solar_wm2")) / float(expected_per_day), 0)).alias("solar_daily_avg_wm2"),
         dround(hi("uv_index"), 1).alias("uv_max"),
         total("etp_mm", 2).alias("etp_total_mm"),
-        or_nan("precip_mm", or_nan("etp_mm", round_exact(s("precip_mm") - s("etp_mm"), 2))).alias("water_balance_mm"),
+        or_nan("precip_mm", or_nan("etp_mm", balance)).alias("water_balance_mm"),
         dround(hi("heat_index_c"), 1).alias("heat_index_max_c"), dround(hi("thsw_index_c"), 1).alias("thsw_max_c"),
-        mean("pressure_hpa", 1).alias("pressure_avg_hpa"),
+        average("pressure_hpa", 1).alias("pressure_avg_hpa"),
         F.col("n").alias("n_observations"), "n_flagged",
-        above(hi("temp_out_c"), "is_hot_day"), above(or_nan("precip_mm", s("precip_mm").cast("double")), "is_rainy_day"),
+        above(hi("temp_out_c"), "is_hot_day"), above(or_nan("precip_mm", amount(s("precip_mm"))), "is_rainy_day"),
         above(hi("wind_gust_kmh"), "is_windy_day"), above(hi("uv_index"), "is_uv_extreme"),
     )
 
@@ -120,14 +145,12 @@ def fact_monthly_summary(daily: DataFrame) -> DataFrame:
         return F.when(F.bool_or(F.isnan(c)), F.lit(NAN)).otherwise(value)
 
     columns: list[Column] = []
-    for c, digits in [("temp_avg_c", 2)]:
-        columns.append(nan_or(c, dround(ratio(F.sum(dec(c)), F.count(c)), digits)).alias(c))
+    for c, digits in [("temp_avg_c", 2), ("humidity_avg_pct", 1)]:
+        if c in have:
+            columns.append(nan_or(c, dround(mean(F.sum(ticks(c)), F.count(c)), digits)).alias(c))
     columns += [dround(F.max("temp_max_c"), 2).alias("temp_max_c"), dround(F.min("temp_min_c"), 2).alias("temp_min_c")]
-    if "humidity_avg_pct" in have:
-        c = "humidity_avg_pct"
-        columns.append(nan_or(c, dround(ratio(F.sum(dec(c)), F.count(c)), 1)).alias(c))
     for c in ("precip_total_mm", "etp_total_mm", "water_balance_mm"):
-        columns.append(nan_or(c, round_exact(F.sum(dec(c)), 1)).alias(c))
+        columns.append(nan_or(c, round_ticks(F.sum(ticks(c)), 1)).alias(c))
     for flag, out in [("is_hot_day", "n_hot_days"), ("is_rainy_day", "n_rainy_days"),
                       ("is_windy_day", "n_windy_days"), ("is_uv_extreme", "n_uv_extreme_days")]:
         if flag in have:

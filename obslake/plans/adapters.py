@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obslake.functions import meteo
 from obslake.functions.clock import floor_to_minutes
-from obslake.functions.exact import dec, dround, ratio, round_exact
+from obslake.functions.exact import SCALE, dround, mean, ratio, round_ticks, ticks
 from obslake.operators.calendar import calendar_attributes, spine_of
 from obslake.operators.dedup import keep_first
 from obslake.schema import EventRule
@@ -93,23 +93,23 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A daily fact over seven years: line items per supplier and ship date."""
     quantity = F.col("l_quantity")
-    rain, loss = dec(F.col("l_discount") * 100), dec(F.col("l_tax") * 100)
+    rain, loss = ticks(F.col("l_discount") * 100), ticks(F.col("l_tax") * 100)
     items = table(spark, sf_dir, "lineitem")
     states = items.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date_local")).agg(
-        F.sum(dec(quantity)).alias("q"), F.count("*").alias("n"), F.max(quantity).alias("hi"), F.min(quantity).alias("lo"),
+        F.sum(ticks(quantity)).alias("q"), F.count("*").alias("n"), F.max(quantity).alias("hi"), F.min(quantity).alias("lo"),
         F.sum(rain).alias("rain"), F.sum(loss).alias("loss"), F.sum("l_linenumber").alias("lines"),
         F.max("l_linenumber").alias("line_hi"), F.max(rain).alias("rain_hi"))
     return states.select(
         F.concat(F.lit("STN_"), F.col("l_suppkey").cast("string")).alias("station_id"), "date_local",
-        dround(ratio(F.col("q"), F.col("n")), 2).alias("temp_avg_c"),
+        dround(mean(F.col("q"), F.col("n")), 2).alias("temp_avg_c"),
         F.col("hi").alias("temp_max_c"), F.col("lo").alias("temp_min_c"),
-        round_exact("rain", 2).alias("precip_total_mm"), round_exact("loss", 2).alias("etp_total_mm"),
-        round_exact(F.col("rain") - F.col("loss"), 2).alias("water_balance_mm"),
+        round_ticks(F.col("rain"), 2).alias("precip_total_mm"), round_ticks(F.col("loss"), 2).alias("etp_total_mm"),
+        round_ticks(F.col("rain") - F.col("loss"), 2).alias("water_balance_mm"),
         dround(ratio(F.col("lines") * 10, F.col("n")), 1).alias("humidity_avg_pct"),
         F.when(F.col("hi") > 45, 1).otherwise(0).alias("is_hot_day"),
-        F.when(F.col("rain") > 2, 1).otherwise(0).alias("is_rainy_day"),
+        F.when(F.col("rain") > 2 * SCALE, 1).otherwise(0).alias("is_rainy_day"),
         F.when(F.col("line_hi") > 5, 1).otherwise(0).alias("is_windy_day"),
-        F.when(F.col("rain_hi") > 9, 1).otherwise(0).alias("is_uv_extreme"),
+        F.when(F.col("rain_hi") > 9 * SCALE, 1).otherwise(0).alias("is_uv_extreme"),
         F.col("n").alias("n_observations"),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obslake.functions import meteo
-from obslake.functions.exact import dround
+from obslake.functions.exact import amount, dround, ticks
 from obslake.operators import forecast as fc, star
 from obslake.operators.calendar import season
 from obslake.operators.dedup import duplicate_keys
@@ -70,7 +70,7 @@ def station_exports(spark, d):
     typed = type_rows(good)
     return typed.groupBy("station_id", F.col("observation_ts").cast("date").alias("date_local")).agg(
         F.count("*").alias("n_rows"), F.count("temp_out_c").alias("n_temp"),
-        F.sum(F.col("temp_out_c").cast("decimal(18,4)")).cast("double").alias("temp_sum"),
+        amount(F.sum(ticks("temp_out_c"))).alias("temp_sum"),
         F.max("humidity_pct").alias("humidity_max"), F.min("wind_dir").alias("wind_dir_min"))
 
 
@@ -333,16 +333,14 @@ def negative_balance_months(spark, d):
 
 @query
 def station_rankings(spark, d):
-    daily, st = ad.daily(spark, d), ad.stations(spark, d)
-    temp = rank_stations(daily, st, "temp_avg", "rank_temp")
-    etp = rank_stations(daily, st, "etp_sum", "rank_etp").select("station_id", "etp_sum", "rank_etp")
-    return _rounded(temp.join(etp, "station_id"))
+    ranks = {"temp_avg": "rank_temp", "etp_sum": "rank_etp"}
+    return _rounded(rank_stations(ad.daily(spark, d), ad.stations(spark, d), ranks))
 
 
 @query
 def station_rankings_by_year(spark, d):
     return _rounded(rank_stations(
-        ad.daily(spark, d), ad.stations(spark, d), "etp_sum", "rank_etp", ["year"], ad.calendar(spark, d)))
+        ad.daily(spark, d), ad.stations(spark, d), {"etp_sum": "rank_etp"}, ["year"], ad.calendar(spark, d)))
 
 
 @query

@@ -308,16 +308,14 @@ SELECT event_type, {integer('month(date_local)')} AS month, count(*) AS n_events
 
 _WINDOWS = ", ".join(
     f"({day(a)}, {day(b)}, CAST({t} AS DOUBLE), CAST({h} AS DOUBLE), CAST({p} AS DOUBLE))" for _, a, b, t, h, p in ad.OBS_WINDOWS)
-# Whole seconds: the fraction of a second does not count towards the ramp.
-_AT = "date_trunc('second', e.ts)"
-_BEFORE = f"(date_diff('second', {_AT}, CAST(w.a AS TIMESTAMP)) / 86400.0)"
-_AFTER = f"(date_diff('second', CAST(w.b AS TIMESTAMP), {_AT}) / 86400.0)"
+_BEFORE = "((epoch_us(CAST(w.a AS TIMESTAMP)) - epoch_us(e.ts)) / 86400000000.0)"
+_AFTER = "((epoch_us(e.ts) - epoch_us(CAST(w.b AS TIMESTAMP))) / 86400000000.0)"
 ORACLE["event_window_weights"] = f"""
 WITH w(a, b, t, h, p) AS (VALUES {_WINDOWS}),
 j AS (
   SELECT e.event_id, e.ts, w.t, w.h, w.p,
-    CASE WHEN {_AT} BETWEEN w.a AND w.b THEN 1.0 WHEN {_BEFORE} > 0 THEN 1.0 - {_BEFORE} / 7 ELSE 1.0 - {_AFTER} / 7 END AS x
-  FROM events e LEFT JOIN w ON {_AT} BETWEEN w.a - INTERVAL 7 DAY AND w.b + INTERVAL 7 DAY
+    CASE WHEN e.ts BETWEEN w.a AND w.b THEN 1.0 WHEN {_BEFORE} > 0 THEN 1.0 - {_BEFORE} / 7 ELSE 1.0 - {_AFTER} / 7 END AS x
+  FROM events e LEFT JOIN w ON e.ts BETWEEN w.a - INTERVAL 7 DAY AND w.b + INTERVAL 7 DAY
 )
 SELECT event_id, ts AS observation_ts, {rnd('coalesce(sum(x * t), 0)')} AS temp_anomaly,
   {rnd('coalesce(sum(x * h), 0)')} AS humidity_anomaly, {rnd('1 + coalesce(sum(x * (p - 1)), 0)')} AS precip_multiplier

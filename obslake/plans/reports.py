@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from obslake.functions.clock import days_between
-from obslake.functions.exact import dec, dround, ratio
+from obslake.functions.exact import amount, dround, mean, ratio, ticks
 from obslake.operators.calendar import time_spine
 from obslake.operators.metrics import evaluate
 from obslake.schema import STEPS_PER_DAY
@@ -41,8 +41,8 @@ def month_heatmap(daily: DataFrame, measure: str, how: str = "mean", digits: int
     """A row per station, a column per month of the year."""
     if how not in ("mean", "sum"):
         raise ValueError("how must be 'mean' or 'sum'")
-    total, count = F.sum(dec(measure)), F.count(measure)
-    cell = ratio(total, count) if how == "mean" else total.cast("double")
+    total = F.sum(ticks(measure))
+    cell = mean(total, F.count(measure)) if how == "mean" else amount(total)
     cells = daily.groupBy("station_id", F.month("date_local").alias("_m")).agg(dround(cell, digits).alias("_v"))
     months = list(range(1, 13))
     wide = cells.groupBy("station_id").pivot("_m", months).agg(F.max("_v"))

@@ -81,6 +81,9 @@ QUALITY_BOUNDS = [
     ("solar_wm2", 0, 1500, "solar_out_of_range"),
 ]
 
+# The sixteen compass points a station reports.
+COMPASS = ["N", "NNE", "NE", "ENE", "E", "ESE", "SE", "SSE", "S", "SSW", "SW", "WSW", "W", "WNW", "NW", "NNW"]
+
 #: Half-hourly steps in a day.
 STEPS_PER_DAY = 48
 
