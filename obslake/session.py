@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites of every column expression cost more than building the plan itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

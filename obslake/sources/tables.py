@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 STATION_MONTH = ("station_id", "year", "month")
 
@@ -39,8 +39,10 @@ def read_layer(
 ) -> DataFrame:
     """Scan a partitioned layer; a time range also prunes the year and month folders."""
     df = spark.read.parquet(folder)
-    if df.schema["station_id"].dataType.simpleString() != "string":
-        df = df.withColumn("station_id", F.col("station_id").cast("string"))
+    if df.schema["station_id"].dataType != T.StringType():
+        # Folder names that look like numbers would lose leading zeros.
+        text = [T.StructField(f.name, T.StringType()) if f.name == "station_id" else f for f in df.schema.fields]
+        df = spark.read.schema(T.StructType(text)).parquet(folder)
     month_key = F.col("year") * 100 + F.col("month")
     if start is not None:
         df = df.filter((F.col("year") >= start.year) & (month_key >= start.year * 100 + start.month))
