@@ -38,7 +38,8 @@ class MetricSpec:
 
 @dataclass(frozen=True)
 class Context:
-    """What a measure sees: the states of its row, and how blanks count."""
+    """What a measure sees: the states of its row, and whether a missing value counts as 0 in differences
+    and comparisons (as it does in the report model)."""
 
     blank_as_zero: bool = True
 
@@ -190,7 +191,7 @@ def _advice(c: Context) -> Column:
     text = F.lit(IRRIGATION_CRITICAL)
     for bound, advice in reversed(IRRIGATION_ADVICE):
         text = F.when(shown > bound, F.lit(advice)).otherwise(text)
-    return F.when(c.days().isNotNull(), text)
+    return text if c.blank_as_zero else F.when(per_day.isNotNull(), text)
 
 
 define("irrigation_advice", "Recomendación de Riego", _WATER, "", "Advice by the mean daily balance",

@@ -19,7 +19,7 @@ def _typed(raw: str, kind: str) -> Column:
         return text.try_cast("double")
     if kind == "int":
         # Text such as '2.5' counts as a number and rounds half up.
-        return F.round(text.try_cast("double")).try_cast("int")
+        return F.coalesce(text.try_cast("int"), F.round(text.try_cast("double")).try_cast("int"))
     return text
 
 

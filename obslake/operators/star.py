@@ -160,6 +160,11 @@ def fact_monthly_summary(daily: DataFrame) -> DataFrame:
     ).agg(*columns, F.count("*").alias("n_days"))
 
 
+def unmatched_days(facts: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Days of the facts that the calendar does not have; measures along the calendar leave them out."""
+    return facts.select("date_local").distinct().join(calendar.select("date_local"), "date_local", "left_anti")
+
+
 def join_dimensions(
     daily: DataFrame, stations: DataFrame, calendar: DataFrame,
     station_columns=VIEW_STATION_COLUMNS, date_columns=VIEW_DATE_COLUMNS,

@@ -6,11 +6,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from obslake.functions import meteo
 from obslake.functions.clock import floor_to_minutes
 from obslake.functions.exact import SCALE, dround, mean, ratio, round_ticks, ticks
 from obslake.operators.calendar import calendar_attributes, spine_of
 from obslake.operators.dedup import keep_first
+from obslake.operators.enrich import derive_measures
 from obslake.schema import EventRule
 
 # Stand-in event windows within the years of the orders, 16 days apart like the real ones.
@@ -60,16 +60,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(obs: DataFrame) -> DataFrame:
-    """Add the derived measures, at the decimals a station would report."""
-    digits = {"dew_point_c": 1, "uv_index": 1, "etp_mm": 3, "heat_index_c": 1, "thsw_index_c": 1}
-    raw = {
-        "dew_point_c": meteo.dew_point_c("temp_out_c", "humidity_pct"),
-        "uv_index": meteo.uv_index("solar_wm2"),
-        "etp_mm": meteo.reference_etp_mm("temp_out_c", "humidity_pct", "wind_speed_kmh", "solar_wm2", "pressure_hpa"),
-        "heat_index_c": meteo.heat_index_c("temp_out_c", "humidity_pct"),
-        "thsw_index_c": meteo.thsw_index_c("temp_out_c", "humidity_pct", "wind_speed_kmh", "solar_wm2"),
-    }
-    return obs.withColumns({c: dround(e, digits[c]) for c, e in raw.items()})
+    """Add the derived measures that the fact tables read."""
+    return derive_measures(obs, ["dew_point_c", "uv_index", "etp_mm", "heat_index_c", "thsw_index_c"], dround)
 
 
 def unique_observations(spark: SparkSession, sf_dir: str) -> DataFrame:

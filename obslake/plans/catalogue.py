@@ -17,7 +17,6 @@ from obslake.operators.metrics import evaluate, evaluate_forecast, hottest_stati
 from obslake.operators.silver import flag_rows, profile, profile_totals, quality_flag, type_rows
 from obslake.plans import adapters as ad, reports
 from obslake.session import new_shared_path
-from obslake.schema import RAW_TO_TYPED
 from obslake.sources import station_text as text, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,16 +40,8 @@ def _flagged(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _export_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Observations as the text cells of an export; columns a table does not have are missing."""
-    obs = ad.observations(spark, d)
-    have = set(obs.columns)
-    cells = [
-        F.col(typed).cast("string").alias(raw) if typed in have else F.lit(None).cast("string").alias(raw)
-        for raw, typed, _, _ in RAW_TO_TYPED[2:]
-    ]
-    stamp = F.col("event_ts")
-    return obs.select(
-        "station_id", F.date_format(stamp, "dd/MM/yy").alias("Date"), F.date_format(stamp, "HH:mm").alias("Time"), *cells)
+    """Observations as the text cells of an export, at the minute they were made."""
+    return text.export_cells(ad.observations(spark, d).withColumn("observation_ts", F.col("event_ts")))
 
 
 _MEASURED = ["temp_out_c", "humidity_pct", "wind_speed_kmh", "wind_gust_kmh", "wind_dir", "pressure_hpa", "precip_mm", "solar_wm2"]

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obslake.functions.clock import parse_export_stamp
+from obslake.functions.meteo import export_precision
 from obslake.schema import (
-    HEADER_DATES, LOCAL_HEADER, MISSING_CELLS, MISSING_MARK, RAW_COLUMNS, RAW_SCHEMA,
+    HEADER_DATES, LOCAL_HEADER, MISSING_CELLS, MISSING_MARK, RAW_COLUMNS, RAW_SCHEMA, RAW_TO_TYPED,
 )
 
 STAMP = "_stamp"
@@ -110,6 +111,25 @@ def ingest_report(spark: SparkSession, exports: DataFrame, raw_folder: str, tabl
     }))
 
 
+def export_cells(typed: DataFrame) -> DataFrame:
+    """Typed observations as the text cells of an export, at the decimals it keeps.
+
+    Columns the frame does not have are missing in the export.
+    """
+    have = set(typed.columns)
+    stamp = F.col("observation_ts")
+
+    def cell(typed_name: str, kind: str) -> Column:
+        if typed_name not in have:
+            return F.lit(None).cast("string")
+        value = export_precision(typed_name) if kind == "double" else F.col(typed_name)
+        return value.cast("string")
+
+    return typed.select(
+        "station_id", F.date_format(stamp, "dd/MM/yy").alias("Date"), F.date_format(stamp, "HH:mm").alias("Time"),
+        *[cell(name, kind).alias(raw) for raw, name, kind, _ in RAW_TO_TYPED[2:]])
+
+
 def write_exports(raw: DataFrame, stations: DataFrame, folder: str) -> None:
     """Write the 38 text columns back as exports, one folder ``station_id=…`` per station.
 

@@ -94,7 +94,7 @@ def brute(pdf, calendar, by, where=None):
             n = len(cur) or None
             deficit = int((cur.water_balance_mm < -7).sum()) or None
             per_day = div(total(cur, "water_balance_mm"), n)
-            advice = None if n is None else next((a for b, a in metrics.IRRIGATION_ADVICE if per_day > b), metrics.IRRIGATION_CRITICAL)
+            advice = next((a for b, a in metrics.IRRIGATION_ADVICE if (per_day or 0) > b), metrics.IRRIGATION_CRITICAL)
             p, p_ly = total(cur, "precip_total_mm"), total(ly, "precip_total_mm")
             out[dict(zip(entity, ek)) and tuple(ek) + tuple(dk) or tuple(dk)] = {
                 "temp_avg": t, "temp_max": cur.temp_max_c.max(), "temp_min": cur.temp_min_c.min(),
@@ -169,8 +169,9 @@ def test_missing_counts_as_zero_only_on_request(spark):
 
 
 def test_empty_fact(spark, daily, calendar):
-    row = evaluate(daily.limit(0), ["temp_avg", "n_days", "hot_days_share", "irrigation_advice"]).first()
+    row = evaluate(daily.limit(0), ["temp_avg", "n_days", "hot_days_share", "irrigation_advice"], blank_as_zero=False).first()
     assert tuple(row) == (None, None, None, None)
+    assert "ligero" in evaluate(daily.limit(0), ["irrigation_advice"]).first().irrigation_advice
     assert evaluate(daily.limit(0), ["temp_avg"], ["station_id"]).count() == 0
 
 
