@@ -8,15 +8,24 @@ from obslake.functions.exact import col
 
 #: Two-digit years from here on belong to the 1900s.
 PIVOT_YEAR = 69
-_EXPORT_STAMP = r"^\s*(\d{1,2})/(\d{1,2})/(\d{2})\s+(\d{1,2}):(\d{2})\s*$"
+_EXPORT_STAMP = r"^\d{1,2}/\d{1,2}/\d{2} \d{1,2}:\d{2}$"
 
 
 def parse_export_stamp(date: str | Column, time: str | Column) -> Column:
-    """``dd/MM/yy`` and ``HH:mm`` text as TIMESTAMP_NTZ; NULL where it is no valid instant."""
-    text = F.concat_ws(" ", col(date), col(time))
-    century = F.when(F.regexp_extract(text, _EXPORT_STAMP, 3) >= F.lit(str(PIVOT_YEAR)), "19").otherwise("20")
-    iso = F.concat(century, F.regexp_replace(text, _EXPORT_STAMP, "$3-$2-$1 $4:$5"))
-    return F.when(text.rlike(_EXPORT_STAMP), iso.try_cast("timestamp_ntz"))
+    """``dd/MM/yy`` and ``HH:mm`` text as TIMESTAMP_NTZ; NULL where it is no valid instant.
+
+    Kept small: long expressions make generated methods that the JVM does not compile.
+    """
+    d, t = col(date), col(time)
+    dd, mm, yy = (F.split_part(d, F.lit("/"), F.lit(i)) for i in (1, 2, 3))
+    century = F.when(yy >= F.lit(str(PIVOT_YEAR)), "19").otherwise("20")
+    iso = F.concat(century, yy, F.lit("-"), mm, F.lit("-"), dd, F.lit(" "), t)
+    return F.when(F.concat_ws(" ", d, t).rlike(_EXPORT_STAMP), iso.try_cast("timestamp_ntz"))
+
+
+def has_shape(text: Column, shape: str) -> Column:
+    """Whether the text has a digit wherever ``shape`` has a 0, and else its very characters."""
+    return F.translate(text, "123456789", "000000000") == shape
 
 
 def date_id(c: str | Column) -> Column:

@@ -14,7 +14,7 @@ SCALE_DIGITS = 4
 SCALE = 10 ** SCALE_DIGITS
 NAN = float("nan")
 
-# Doubles below this keep nine decimals through one multiplication.
+# Doubles below this keep nine decimals.
 _FAST_LIMIT = 9.0e6
 _GUARD_DIGITS = 9
 
@@ -43,22 +43,26 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def _half_up(units: Column, drop: int) -> Column:
-    """Drop the last ``drop`` decimal digits of an integer, halves away from zero."""
-    if drop == 0:
-        return units
-    half = F.when(units < 0, F.lit(-(10 ** drop) // 2)).otherwise(F.lit(10 ** drop // 2))
-    return F.call_function("div", units + half, F.lit(10 ** drop).cast("bigint"))
-
-
 def dround(c: str | Column, digits: int) -> Column:
-    """Round half up on the decimal value (2.675 gives 2.68), whatever its binary form."""
+    """Round half away from zero on the decimal value (2.675 gives 2.68), whatever its binary form.
+
+    What differs from a half by less than the ninth decimal counts as a half.
+    """
     x = col(c)
-    fast = _half_up(F.rint(x * 10.0 ** _GUARD_DIGITS).cast("bigint"), _GUARD_DIGITS - digits) / F.lit(10.0 ** digits)
-    slow = F.round(x.try_cast(f"decimal(38,{_GUARD_DIGITS})"), digits).cast("double")
-    return F.when(F.abs(x) < _FAST_LIMIT, fast).when(F.isnan(x), x.cast("double")).otherwise(slow)
+    power = 10.0 ** digits
+    guard = 0.5 + 0.5 * 10.0 ** (digits - _GUARD_DIGITS)
+    fast = F.signum(x) * F.floor(F.abs(x) * power + guard) / power
+    return F.when(F.abs(x) < _FAST_LIMIT, fast).otherwise(F.round(x.cast("double"), digits))
 
 
 def round_ticks(total: Column, digits: int) -> Column:
     """Round an exact total, halves away from zero."""
-    return _half_up(total, SCALE_DIGITS - digits) / F.lit(10.0 ** digits)
+    step = 10 ** (SCALE_DIGITS - digits)
+    return F.signum(total) * F.call_function("div", F.abs(total) + step // 2, F.lit(step)) / F.lit(10.0 ** digits)
+
+
+def round_mean(total: Column, count: Column, digits: int) -> Column:
+    """Mean of ``count`` readings rounded half away from zero, in whole numbers throughout."""
+    unit = count * (2 * 10 ** (SCALE_DIGITS - digits))
+    units = F.call_function("div", F.abs(total) * 2 + count * 10 ** (SCALE_DIGITS - digits), unit)
+    return F.signum(total) * units / F.lit(10.0 ** digits)

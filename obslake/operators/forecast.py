@@ -179,9 +179,10 @@ def linear_trend(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int
 def seasonal_naive(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int = 4) -> DataFrame:
     """Mean of the same day of the year over the years before; NULL where no year has the day.
 
-    A series folds to its days of the year first (at most 366), and carries them to its future dates.
+    A series folds to its days of the year (at most 366) and carries them to its future dates.  Its days
+    are brought together once, and both steps use that partitioning.
     """
-    by_day = series.groupBy(*SERIES, (F.month("ds") * 100 + F.dayofmonth("ds")).alias("md")).agg(
+    by_day = series.repartition(*SERIES).groupBy(*SERIES, (F.month("ds") * 100 + F.dayofmonth("ds")).alias("md")).agg(
         F.sum(ticks("y")).alias("s"), F.count("y").alias("n"), F.max("ds").alias("_d"))
     folded = by_day.groupBy(*SERIES).agg(
         F.max("_d").alias("_end"), F.map_from_entries(F.collect_list(F.struct("md", F.struct("s", "n")))).alias("_days"))

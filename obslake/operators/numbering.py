@@ -48,10 +48,14 @@ def dense_rank_desc(df: DataFrame, context: Sequence[str], value: str, name: str
 
 
 def top_with_ties(df: DataFrame, context: Sequence[str], value: str) -> DataFrame:
-    """The rows holding the highest non-NULL ``value`` of their context, ties included."""
-    keys = list(context)
+    """The rows holding the highest non-NULL ``value`` of their context, ties included.
+
+    The rank filter is planned as a group limit on both sides of the shuffle: a task sends only the rows
+    that lead a context among its own.
+    """
+    keys, valued = list(context), df.filter(F.col(value).isNotNull())
     if not keys:
-        best = df.agg(F.max(value)).scalar()
-        return df.filter(F.col(value) == best)
-    best = df.groupBy(*keys).agg(F.max(value).alias(value))
-    return df.join(best, [*keys, value], "left_semi")
+        best = valued.agg(F.max(value)).scalar()
+        return valued.filter(F.col(value) == best)
+    w = Window.partitionBy(*keys).orderBy(F.col(value).desc())
+    return valued.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")

@@ -28,10 +28,12 @@ def type_rows(bronze: DataFrame, keep: Sequence[str] = LINEAGE) -> DataFrame:
     known = set(bronze.columns)
     columns = [_typed(raw, kind).alias(typed) for raw, typed, kind, _ in RAW_TO_TYPED if raw in known]
     extra = [c for c in keep if c in known]
+    stamp = parse_export_stamp("Date", "Time")
+    # A bronze row without a valid instant has no year, which also prunes its folder.
+    valid = F.col("year").isNotNull() if "year" in known else stamp.isNotNull()
     return (
-        bronze.filter(F.col("Date").isNotNull() & F.col("Time").isNotNull())
-        .select("station_id", parse_export_stamp("Date", "Time").alias("observation_ts"), *columns, *extra)
-        .filter(F.col("observation_ts").isNotNull())
+        bronze.filter(F.col("Date").isNotNull() & F.col("Time").isNotNull() & valid)
+        .select("station_id", stamp.alias("observation_ts"), *columns, *extra)
     )
 
 

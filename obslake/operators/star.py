@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obslake.functions.clock import date_id
-from obslake.functions.exact import NAN, amount, dround, mean, round_ticks, ticks
+from obslake.functions.exact import NAN, amount, dround, round_mean, round_ticks, ticks
 from obslake.schema import COMPASS, DAY_FLAGS, STATION_SCHEMA, STATIONS, STEPS_PER_DAY
 from obslake.session import literal_rows
 
@@ -46,8 +46,9 @@ def _day_states() -> list[Column]:
     states = [F.count("*").alias("n"), F.count("quality_flag").alias("n_flagged"),
               F.count_if(F.col("precip_mm") > 0).alias("n_rain")]
     for c in _SUMMED:
-        states += [F.sum(ticks(c)).alias(f"sum_{c}"), F.count(c).alias(f"cnt_{c}"),
-                   F.bool_or(F.isnan(c)).alias(f"nan_{c}")]
+        states += [F.sum(ticks(c)).alias(f"sum_{c}"), F.count(c).alias(f"cnt_{c}")]
+    # NaN is the greatest of all readings, so a maximum shows it as well.
+    states += [F.bool_or(F.isnan(c)).alias(f"nan_{c}") for c in _SUMMED if c not in _HIGHEST]
     states += [F.max(c).alias(f"max_{c}") for c in _HIGHEST]
     return states + [F.min(c).alias(f"min_{c}") for c in _LOWEST]
 
@@ -57,14 +58,13 @@ def _prevailing_listed(points: Sequence[str]) -> Column:
 
     Refuses the one case in which a direction outside the list could have won.
     """
-    counts = {p: F.col(f"dir_{p}") for p in sorted(points)}
-    most, listed = F.greatest(*counts.values()), sum(counts.values(), F.lit(0))
-    unlisted = F.col("n_dir") - listed
-    winner = F.lit(None).cast("string")
-    for point, count in reversed(counts.items()):
-        winner = F.when(count == most, F.lit(point)).otherwise(winner)
+    names = sorted(points)
+    counts = F.array(*[F.col(f"dir_{p}") for p in names])
+    most = F.array_max(counts)
+    winner = F.element_at(F.array(*[F.lit(p) for p in names]), F.array_position(counts, most).cast("int"))
     refuse = F.raise_error(F.lit("wind directions outside the list are too frequent; pass directions=None"))
-    return F.when(unlisted >= F.greatest(most, F.lit(1)), refuse.cast("string")).when(most > 0, winner)
+    unlisted = F.col("n_unlisted")
+    return F.when((unlisted > 0) & (unlisted >= most), refuse.cast("string")).when(most > 0, winner)
 
 
 def _prevailing_any(obs: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def fact_daily_summary(
     """
     states = _day_states()
     if directions is not None:
-        states += [F.count("wind_dir").alias("n_dir")]
+        states += [F.count_if(~F.col("wind_dir").isin(list(directions))).alias("n_unlisted")]
         states += [F.count_if(F.col("wind_dir") == p).alias(f"dir_{p}") for p in directions]
     day = obs.groupBy(*_DAY).agg(*states)
     if directions is None:
@@ -98,14 +98,19 @@ def fact_daily_summary(
     s, n, hi, lo = (lambda c, p=p: F.col(f"{p}_{c}") for p in ("sum", "cnt", "max", "min"))
 
     def or_nan(c: str, value: Column) -> Column:
-        return F.when(F.col(f"nan_{c}"), F.lit(NAN)).otherwise(value)
+        seen = F.isnan(hi(c)) if c in _HIGHEST else F.col(f"nan_{c}")
+        return F.when(seen, F.lit(NAN)).otherwise(value)
 
     def average(c: str, digits: int) -> Column:
-        return or_nan(c, dround(mean(s(c), n(c)), digits))
+        return or_nan(c, round_mean(s(c), n(c), digits))
 
     def total(c: str, digits: int) -> Column:
         return or_nan(c, round_ticks(s(c), digits))
 
+    def shown(reading: Column, digits: int) -> Column:
+        # A reading carries no arithmetic noise, so the built-in rounding of its decimal value will do.
+        return F.round(reading, digits)
+
     def above(value: Column, flag: str) -> Column:
         return F.when(value > flags[flag], 1).otherwise(0).alias(flag)
 
@@ -113,19 +118,19 @@ def fact_daily_summary(
     return day.select(
         *_DAY, date_id("date_local").alias("date_id"),
         average("temp_out_c", 2).alias("temp_avg_c"),
-        dround(hi("temp_out_c"), 2).alias("temp_max_c"), dround(lo("temp_out_c"), 2).alias("temp_min_c"),
-        dround(hi("temp_out_c") - lo("temp_out_c"), 2).alias("temp_amplitude_c"),
+        shown(hi("temp_out_c"), 2).alias("temp_max_c"), shown(lo("temp_out_c"), 2).alias("temp_min_c"),
+        shown(hi("temp_out_c") - lo("temp_out_c"), 2).alias("temp_amplitude_c"),
         average("humidity_pct", 1).alias("humidity_avg_pct"),
-        dround(lo("humidity_pct"), 0).alias("humidity_min_pct"), dround(hi("humidity_pct"), 0).alias("humidity_max_pct"),
-        average("wind_speed_kmh", 1).alias("wind_avg_kmh"), dround(hi("wind_gust_kmh"), 1).alias("wind_gust_max_kmh"),
+        shown(lo("humidity_pct"), 0).alias("humidity_min_pct"), shown(hi("humidity_pct"), 0).alias("humidity_max_pct"),
+        average("wind_speed_kmh", 1).alias("wind_avg_kmh"), shown(hi("wind_gust_kmh"), 1).alias("wind_gust_max_kmh"),
         prevailing.alias("wind_dominant_dir"),
         total("precip_mm", 2).alias("precip_total_mm"), F.col("n_rain").alias("rainy_intervals"),
-        dround(hi("solar_wm2"), 0).alias("solar_max_wm2"),
+        shown(hi("solar_wm2"), 0).alias("solar_max_wm2"),
         or_nan("solar_wm2", dround(amount(s("solar_wm2")) / float(expected_per_day), 0)).alias("solar_daily_avg_wm2"),
-        dround(hi("uv_index"), 1).alias("uv_max"),
+        shown(hi("uv_index"), 1).alias("uv_max"),
         total("etp_mm", 2).alias("etp_total_mm"),
         or_nan("precip_mm", or_nan("etp_mm", balance)).alias("water_balance_mm"),
-        dround(hi("heat_index_c"), 1).alias("heat_index_max_c"), dround(hi("thsw_index_c"), 1).alias("thsw_max_c"),
+        shown(hi("heat_index_c"), 1).alias("heat_index_max_c"), shown(hi("thsw_index_c"), 1).alias("thsw_max_c"),
         average("pressure_hpa", 1).alias("pressure_avg_hpa"),
         F.col("n").alias("n_observations"), "n_flagged",
         above(hi("temp_out_c"), "is_hot_day"), above(or_nan("precip_mm", amount(s("precip_mm"))), "is_rainy_day"),
@@ -147,7 +152,7 @@ def fact_monthly_summary(daily: DataFrame) -> DataFrame:
     columns: list[Column] = []
     for c, digits in [("temp_avg_c", 2), ("humidity_avg_pct", 1)]:
         if c in have:
-            columns.append(nan_or(c, dround(mean(F.sum(ticks(c)), F.count(c)), digits)).alias(c))
+            columns.append(nan_or(c, round_mean(F.sum(ticks(c)), F.count(c), digits)).alias(c))
     columns += [dround(F.max("temp_max_c"), 2).alias("temp_max_c"), dround(F.min("temp_min_c"), 2).alias("temp_min_c")]
     for c in ("precip_total_mm", "etp_total_mm", "water_balance_mm"):
         columns.append(nan_or(c, round_ticks(F.sum(ticks(c)), 1)).alias(c))

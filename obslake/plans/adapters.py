@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from obslake.functions.clock import floor_to_minutes
-from obslake.functions.exact import SCALE, dround, mean, ratio, round_ticks, ticks
+from obslake.functions.exact import SCALE, dround, ratio, round_mean, round_ticks, ticks
 from obslake.operators.calendar import calendar_attributes, spine_of
 from obslake.operators.dedup import keep_first
 from obslake.operators.enrich import derive_measures
@@ -93,7 +93,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("l_linenumber").alias("line_hi"), F.max(rain).alias("rain_hi"))
     return states.select(
         F.concat(F.lit("STN_"), F.col("l_suppkey").cast("string")).alias("station_id"), "date_local",
-        dround(mean(F.col("q"), F.col("n")), 2).alias("temp_avg_c"),
+        round_mean(F.col("q"), F.col("n"), 2).alias("temp_avg_c"),
         F.col("hi").alias("temp_max_c"), F.col("lo").alias("temp_min_c"),
         round_ticks(F.col("rain"), 2).alias("precip_total_mm"), round_ticks(F.col("loss"), 2).alias("etp_total_mm"),
         round_ticks(F.col("rain") - F.col("loss"), 2).alias("water_balance_mm"),

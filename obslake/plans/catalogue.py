@@ -221,9 +221,10 @@ def _derived(name: str, columns: Callable[[], dict[str, Column]]) -> None:
 
 _T, _RH, _V, _S, _P = "temp_out_c", "humidity_pct", "wind_speed_kmh", "solar_wm2", "pressure_hpa"
 _derived("derived_dew_point", lambda: {"dew_point_c": meteo.dew_point_c(_T, _RH)})
-# Warmer and drier variants reach every branch of the heat index.
-_derived("derived_heat_index", lambda: {
-    "heat_index_c": meteo.heat_index_c(_T, _RH), "heat_index_hot_c": meteo.heat_index_c(F.col(_T) + 15, _RH),
+_derived("derived_heat_index", lambda: {"heat_index_c": meteo.heat_index_c(_T, _RH)})
+# Warmer and drier variants reach the other branches of the heat index.
+_derived("derived_heat_index_extremes", lambda: {
+    "heat_index_hot_c": meteo.heat_index_c(F.col(_T) + 15, _RH),
     "heat_index_dry_c": meteo.heat_index_c(F.col(_T) + 15, F.col(_RH) / 5)})
 _derived("derived_wind_chill", lambda: {"wind_chill_c": meteo.wind_chill_c(F.col(_T) - 15, _V)})
 _derived("derived_thw", lambda: {"thw_index_c": meteo.thw_index_c(_T, _RH, _V)})

@@ -334,9 +334,9 @@ _COLD = "(temp_out_c - 15)"
 _V16 = "power(wind_speed_kmh, 0.16)"
 _VAPOUR = "(6.1078 * exp(17.27 * temp_out_c / (temp_out_c + 237.3)) * (humidity_pct / 100.0))"
 _derived("derived_dew_point", {"dew_point_c": dew("temp_out_c", "humidity_pct")})
-_derived("derived_heat_index", {
-    "heat_index_c": heat("temp_out_c", "humidity_pct"), "heat_index_hot_c": heat("(temp_out_c + 15)", "humidity_pct"),
-    "heat_index_dry_c": heat("(temp_out_c + 15)", "(humidity_pct / 5)")})
+_derived("derived_heat_index", {"heat_index_c": heat("temp_out_c", "humidity_pct")})
+_derived("derived_heat_index_extremes", {
+    "heat_index_hot_c": heat("(temp_out_c + 15)", "humidity_pct"), "heat_index_dry_c": heat("(temp_out_c + 15)", "(humidity_pct / 5)")})
 _derived("derived_wind_chill", {"wind_chill_c": (
     f"CASE WHEN {_COLD} <= 10 AND wind_speed_kmh >= 4.8 THEN 13.12 + 0.6215 * {_COLD} - 11.37 * {_V16} + 0.3965 * {_COLD} * {_V16} "
     f"ELSE {_COLD} END")})

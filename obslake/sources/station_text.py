@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from obslake.functions.clock import parse_export_stamp
+from obslake.functions.clock import has_shape, parse_export_stamp
 from obslake.functions.meteo import export_precision
 from obslake.schema import (
     HEADER_DATES, LOCAL_HEADER, MISSING_CELLS, MISSING_MARK, RAW_COLUMNS, RAW_SCHEMA, RAW_TO_TYPED,
@@ -24,9 +24,11 @@ def _name(c: str) -> Column:
 
 
 def _is_header() -> Column:
+    """Header words, or a line of one field that is no date; a well-formed date settles it at once."""
+    date = F.coalesce(_name("Date"), F.lit(""))
+    plain, spelled = has_shape(date, "00/00/00"), date.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$")
     rest_missing = F.coalesce(*[_name(c) for c in RAW_COLUMNS[1:]]).isNull()
-    date_like = F.coalesce(_name("Date").rlike(r"^\s*\d{1,2}/\d{1,2}/\d{2}\s*$"), F.lit(False))
-    return F.coalesce(_name("Date").isin(HEADER_DATES), F.lit(False)) | (rest_missing & ~date_like)
+    return ~plain & (date.isin(HEADER_DATES) | (rest_missing & ~spelled))
 
 
 def clean_cells(df: DataFrame) -> DataFrame:
