@@ -48,10 +48,11 @@ def _parse_options(reader):
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:
-    source = F.col("_metadata.file_name")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"station_id=([^/]+)/", 1)
+    source, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
+    folder = F.substring_index(F.substring_index(path, "station_id=", -1), "/", 1)
+    name = F.left(source, F.length(source) - F.lit(len(".txt")))
     return df.withColumns({
-        "station_id": F.when(folder != "", folder).otherwise(F.regexp_extract(source, r"^(.*)\.txt$", 1)),
+        "station_id": F.when(path.contains("station_id="), folder).otherwise(name),
         "ingestion_ts": F.current_timestamp(),
         "source_file": source,
     })
