@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Mapping
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obslake.functions.clock import days_between
@@ -28,6 +28,10 @@ FIT_SCHEMA = T.StructType([
     T.StructField("forecast_lower_80", T.DoubleType()), T.StructField("forecast_upper_80", T.DoubleType()),
     T.StructField("error", T.StringType()),
 ])
+_FIT_ARROW = pa.schema([
+    ("station_id", pa.string()), ("target", pa.string()), ("forecast_date", pa.date32()), ("forecast_value", pa.float64()),
+    ("forecast_lower_80", pa.float64()), ("forecast_upper_80", pa.float64()), ("error", pa.string()),
+])
 
 
 def history(daily: DataFrame, targets: Mapping[str, str] = FORECAST_TARGETS) -> DataFrame:
@@ -91,29 +95,26 @@ class AdditiveModel:
         return value * self.scale, (value - half) * self.scale, (value + half) * self.scale
 
 
-def _fit_series(pdf: pd.DataFrame, horizon: int, options: dict) -> pd.DataFrame:
-    station, target = pdf["station_id"].iloc[0], pdf["target"].iloc[0]
+def _fit_series(rows: pa.Table, horizon: int, options: dict) -> pa.Table:
+    def answer(days, value, lower, upper, error) -> pa.Table:
+        n = len(days)
+        columns = [[rows["station_id"][0].as_py()] * n, [rows["target"][0].as_py()] * n, days, value, lower, upper, [error] * n]
+        return pa.table({f.name: pa.array(c, type=f.type) for f, c in zip(_FIT_ARROW, columns, strict=True)})
+
     try:
-        pdf = pdf.sort_values("ds")
-        day = pdf["ds"].to_numpy().astype("datetime64[D]").astype("int64").astype(float)
-        model = AdditiveModel(**options).fit(day, pdf["y"].to_numpy(dtype=float))
+        day, y = rows["ds"].cast(pa.int32()).to_numpy(), rows["y"].to_numpy()
+        order = np.argsort(day)
+        day, y = day[order].astype(float), y[order]
         future = day[-1] + np.arange(1, horizon + 1)
-        value, lower, upper = model.predict(future)
-        dates = future.astype("int64").astype("datetime64[D]").astype(object)
-        return pd.DataFrame({
-            "station_id": station, "target": target, "forecast_date": dates, "forecast_value": value,
-            "forecast_lower_80": lower, "forecast_upper_80": upper, "error": None,
-        })
+        value, lower, upper = AdditiveModel(**options).fit(day, y).predict(future)
+        return answer(future.astype("int32"), value, lower, upper, None)
     except Exception as problem:  # one bad series must not stop the others
-        return pd.DataFrame({
-            "station_id": [station], "target": [target], "forecast_date": [None], "forecast_value": [np.nan],
-            "forecast_lower_80": [np.nan], "forecast_upper_80": [np.nan], "error": [f"{type(problem).__name__}: {problem}"],
-        })
+        return answer([None], [None], [None], [None], f"{type(problem).__name__}: {problem}")
 
 
 def fit_all(series: DataFrame, horizon: int = FORECAST_HORIZON, **options) -> DataFrame:
     """Fit and predict every series; a series that fails gives one row with ``error`` set."""
-    return series.groupBy(*SERIES).applyInPandas(lambda pdf: _fit_series(pdf, horizon, options), FIT_SCHEMA)
+    return series.groupBy(*SERIES).applyInArrow(lambda rows: _fit_series(rows, horizon, options), FIT_SCHEMA)
 
 
 def split_failures(

@@ -85,4 +85,4 @@ def test_plan_has_no_slow_operator(spark, sf, plan, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     if not name.startswith(("forecast_additive", "forecast_summary", "forecast_kpis", "history_and_forecast")):
-        assert "InPandas" not in text
+        assert "InPandas" not in text and "InArrow" not in text
