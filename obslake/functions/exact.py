@@ -14,6 +14,8 @@ SCALE_DIGITS = 4
 SCALE = 10 ** SCALE_DIGITS
 NAN = float("nan")
 
+# Added to a double it changes -0.0 to 0.0 and nothing else.
+_NO_MINUS_ZERO = 0.0
 # Doubles below this keep nine decimals.
 _FAST_LIMIT = 9.0e6
 _GUARD_DIGITS = 9
@@ -51,18 +53,19 @@ def dround(c: str | Column, digits: int) -> Column:
     x = col(c)
     power = 10.0 ** digits
     guard = 0.5 + 0.5 * 10.0 ** (digits - _GUARD_DIGITS)
-    fast = F.signum(x) * F.floor(F.abs(x) * power + guard) / power
+    fast = F.signum(x) * F.floor(F.abs(x) * power + guard) / power + _NO_MINUS_ZERO
     return F.when(F.abs(x) < _FAST_LIMIT, fast).otherwise(F.round(x.cast("double"), digits))
 
 
 def round_ticks(total: Column, digits: int) -> Column:
     """Round an exact total, halves away from zero."""
     step = 10 ** (SCALE_DIGITS - digits)
-    return F.signum(total) * F.call_function("div", F.abs(total) + step // 2, F.lit(step)) / F.lit(10.0 ** digits)
+    units = F.call_function("div", F.abs(total) + step // 2, F.lit(step))
+    return F.signum(total) * units / F.lit(10.0 ** digits) + _NO_MINUS_ZERO
 
 
 def round_mean(total: Column, count: Column, digits: int) -> Column:
     """Mean of ``count`` readings rounded half away from zero, in whole numbers throughout."""
     unit = count * (2 * 10 ** (SCALE_DIGITS - digits))
     units = F.call_function("div", F.abs(total) * 2 + count * 10 ** (SCALE_DIGITS - digits), unit)
-    return F.signum(total) * units / F.lit(10.0 ** digits)
+    return F.signum(total) * units / F.lit(10.0 ** digits) + _NO_MINUS_ZERO

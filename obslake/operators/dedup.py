@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-OBSERVATION_KEY = ("station_id", "observation_ts")
+# The instant first: sorts compare its 64 bits before they look at any text.
+OBSERVATION_KEY = ("observation_ts", "station_id")
 
 
 def keep_first(df: DataFrame, order: Sequence[str | Column], keys: Sequence[str] = OBSERVATION_KEY) -> DataFrame:

@@ -19,6 +19,12 @@ def test_rounding_on_the_decimal_value(spark):
     assert list(row) == [want for _, _, want in cases]
 
 
+def test_rounding_gives_no_minus_zero(spark):
+    row = one(spark, a=exact.dround(F.lit(-0.001), 2), b=exact.dround(F.lit(-0.0), 2),
+              c=exact.round_ticks(F.lit(-3).cast("bigint"), 2), d=exact.round_mean(F.lit(-3).cast("bigint"), F.lit(2).cast("bigint"), 2))
+    assert [math.copysign(1, x) for x in row] == [1, 1, 1, 1] and set(row) == {0.0}
+
+
 def test_rounding_keeps_nan_and_null(spark):
     row = one(spark, a=exact.dround(F.lit(float("nan")), 2), b=exact.dround(F.lit(None).cast("double"), 2))
     assert math.isnan(row.a) and row.b is None
