@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -33,6 +35,26 @@ def build_session(app: str = "obslake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need not have it installed.
+
+    The archive is kept beside the session's context, so that calling this again costs nothing.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_obslake_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="obslake-package-"), "obslake_package.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._obslake_shipped = True
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A few configured rows as a frame of literals, which the optimiser sees and no Python worker reads."""
     structs = [
