@@ -1,4 +1,4 @@
-"""The corpus queries by name, and the SQL of those that SQL can express."""
+"""The corpus queries by name; each applies its operator to its whole table."""
 
 from __future__ import annotations
 
@@ -6,14 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import quality_rules
+from obslake.llm import bpe, license_scan, nbsvm, packing, quality_rules
 from obslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary() -> str:
+    """Where the public byte-level vocabulary lies; every machine has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.scan_licences(table(spark, d, "documents")).drop("spans")
+
+
 def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(table(spark, d, "documents")).drop("n_words_left")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_quality_rules,)}
+def op4_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), vocabulary())
+
+
+def op6_bpe(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.round_trip(table(spark, d, "documents"), vocabulary())
+
+
+def op7_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return nbsvm.score(docs, nbsvm.train(docs, table(spark, d, "labels")))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_license_scan, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier)}
