@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import bpe, license_scan, nbsvm, packing, quality_rules
+from obslake.llm import bpe, license_scan, nbsvm, packing, quality_rules, toxicity
 from obslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,5 +40,10 @@ def op7_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return nbsvm.score(docs, nbsvm.train(docs, table(spark, d, "labels")))
 
 
+def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, d, "labels"))).drop("spans")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_license_scan, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier)}
+    op1_license_scan, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity)}
