@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import bpe, license_scan, nbsvm, packing, quality_rules, toxicity
+from obslake.llm import bpe, class_lm, license_scan, nbsvm, packing, quality_rules, toxicity
 from obslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,5 +45,9 @@ def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, d, "labels"))).drop("spans")
 
 
+def op9_class_lm(spark: SparkSession, d: str) -> DataFrame:
+    return class_lm.score(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_license_scan, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity)}
+    op1_license_scan, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity, op9_class_lm)}
