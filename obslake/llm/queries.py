@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import bpe, class_lm, license_scan, nbsvm, packing, quality_rules, toxicity
+from obslake.llm import bpe, class_lm, license_scan, nbsvm, ngram_join, packing, quality_rules, toxicity
 from obslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.scan_licences(table(spark, d, "documents")).drop("spans")
 
 
+def op2_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, d, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(table(spark, d, "documents")).drop("n_words_left")
 
@@ -50,4 +54,4 @@ def op9_class_lm(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_license_scan, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity, op9_class_lm)}
+    op1_license_scan, op2_ngram_join, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity, op9_class_lm)}
