@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import bpe, class_lm, license_scan, nbsvm, ngram_join, packing, quality_rules, toxicity
+from obslake.llm import bpe, class_lm, embedding_dedup, license_scan, nbsvm, ngram_join, packing, quality_rules, toxicity
 from obslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,5 +53,10 @@ def op9_class_lm(spark: SparkSession, d: str) -> DataFrame:
     return class_lm.score(table(spark, d, "documents"))
 
 
+def op10_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embedding_dedup.link_vectors(table(spark, d, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_license_scan, op2_ngram_join, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity, op9_class_lm)}
+    op1_license_scan, op2_ngram_join, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity, op9_class_lm,
+    op10_embedding_dedup)}
