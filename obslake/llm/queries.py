@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obslake.llm import bpe, class_lm, embedding_dedup, license_scan, nbsvm, ngram_join, packing, quality_rules, toxicity
+from obslake.llm import bpe, class_lm, embedding_dedup, html_wrappers, license_scan, nbsvm, ngram_join, packing, quality_rules, toxicity
 from obslake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), vocabulary())
 
 
+def op5_html_wrappers(spark: SparkSession, d: str) -> DataFrame:
+    return html_wrappers.extract(table(spark, d, "pages"))
+
+
 def op6_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip(table(spark, d, "documents"), vocabulary())
 
@@ -58,5 +62,5 @@ def op10_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_license_scan, op2_ngram_join, op3_quality_rules, op4_best_fit_packing, op6_bpe, op7_quality_classifier, op8_toxicity, op9_class_lm,
+    op1_license_scan, op2_ngram_join, op3_quality_rules, op4_best_fit_packing, op5_html_wrappers, op6_bpe, op7_quality_classifier, op8_toxicity, op9_class_lm,
     op10_embedding_dedup)}
