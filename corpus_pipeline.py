@@ -1,7 +1,46 @@
-"""Corpus pipeline."""
+"""A corpus pipeline of four operators: documents of poor quality go, one of each group of near copies stays, the rest is packed.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it to the shared folder and reads it again for the
+next stage. All but the last return the columns of ``docs``, rows unchanged.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from obslake.llm import nbsvm, ngram_join, packing, quality_rules
+from obslake.llm.common import table
+from obslake.llm.queries import vocabulary
+from obslake.session import new_shared_path
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return nbsvm.keep(docs, nbsvm.train(docs, table(spark, sf_dir, "labels")))
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.keep(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.representatives(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, vocabulary())
+
+
+STAGES = [("quality_classifier", quality_classifier), ("quality_rules", rules), ("ngram_join", near_copies),
+          ("best_fit_packing", best_fit_packing)]
+
+#: A fitted classifier and a tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = new_shared_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

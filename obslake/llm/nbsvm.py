@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -202,3 +204,16 @@ def score(docs: DataFrame, model: Model, modulus: int = 5, remainder: int = 0, t
     scored = texts(docs).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (crc_remainder(F.col("doc_id"), modulus) == remainder).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that the model does not reject, unchanged, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_features
+
+    @F.pandas_udf("double")
+    def chance(batches_of_text: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        features, model = Features(), sent.value
+        for text in batches_of_text:
+            yield pd.Series([model.score(features.of(t or "")) for t in text])
+
+    return docs.where(chance(F.col("text")) >= threshold)

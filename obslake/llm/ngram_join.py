@@ -301,6 +301,7 @@ def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_ro
 
 def representatives(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are the smallest of their component; of rows with the same id, one."""
-    kept = link_components(docs, **settings).where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.dropDuplicates(["doc_id"])
-    return one.join(kept, one["doc_id"].cast("long") == kept["doc_id"], "left_semi")
+    kept = link_components(docs, **settings).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("kept_id")).distinct()
+    one = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    return one.dropDuplicates(["doc_id"])
