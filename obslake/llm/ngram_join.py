@@ -3,14 +3,15 @@
 A document is the set of its five-word shingles (as 64-bit hashes; with fewer words, the whole sequence). Two sets of
 similarity t or more share a token among the first n - ceil(t n) + 1 of either one, under any global order of the
 tokens. Here several orders are used: all put tokens first that are rare in the corpus, each breaks ties its own way. A pair
-is a candidate only if it shares prefix tokens under every order; candidates are then verified on the whole sets.
+is a candidate only if it shares prefix tokens under every order, and at places that leave room for the similarity;
+candidates are then verified on the whole sets.
 
 How rare a token is comes from one pass over all texts: counters addressed by hash, of a fixed number, summed over the tasks. Only
 what stands out of a counter's chance load makes a token frequent. The order is a matter of speed: any order gives the same links.
 
 Equal texts are one class from the start (the hash of their word sequence), so copies meet only once. Classes with thousands
 of similar texts would still give a square of pairs. Components need fewer: in each star round every class is
-verified against one hub it shares most prefix tokens with, and linked classes become one component. The last round
+verified against a few hubs it shares most prefix tokens with, and linked classes become one component. The last round
 verifies every candidate pair of classes that still lie in different components, so no link between components is missed.
 
 Hash collisions: 64 bits for sequences and shingles, 48 bits for the shingles of one compared pair.
@@ -73,15 +74,25 @@ def _read(docs: DataFrame) -> DataFrame:
 
     def run(it):
         total = np.zeros(COUNTERS, np.int64)
+        held: list[np.ndarray] = []
+
+        def count() -> None:
+            total[:] += np.bincount(np.concatenate(held) >> np.uint64(44), minlength=COUNTERS)
+            held.clear()
+
         for batch in it:
-            rows = []
+            rows, size = [], 0
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 words = _words(text.as_py())
                 hashes = np.unique(shingle_hashes(words, WIDTH))
-                total += np.bincount(hashes >> np.uint64(44), minlength=COUNTERS) if len(hashes) > COUNTERS // 8 else 0
-                if len(hashes) <= COUNTERS // 8:
-                    np.add.at(total, (hashes >> np.uint64(44)).astype(np.int64), 1)
                 rows.append((doc_id, len(hashes), _class_of(words) if words else None, None, None))
+                held.append(hashes)
+                size += len(hashes)
+                if size > 2 * COUNTERS:
+                    count()
+                    size = 0
+            if held:
+                count()
             yield from batches(rows, _DOC, 20_000)
         yield from batches([(None, None, None, *b) for b in _blocks(total)], _DOC, 64)
 
@@ -95,8 +106,8 @@ def rarity(counters: np.ndarray) -> np.ndarray:
     return np.where(beyond > 0, np.floor(np.log2(np.maximum(beyond, 1))) + 1, 0).astype(np.uint8)
 
 
-def _prefixes(hashes: np.ndarray, rank: np.ndarray, percent: int, orders: int) -> list[np.ndarray]:
-    """For each order its first tokens; the token's lowest bits hold the order."""
+def _prefixes(hashes: np.ndarray, rank: np.ndarray, percent: int, orders: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens under each order and their places there; a token's lowest bits hold the order."""
     n = len(hashes)
     size = n - -(-percent * n // 100) + 1
     first = rank[(hashes >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
@@ -104,19 +115,27 @@ def _prefixes(hashes: np.ndarray, rank: np.ndarray, percent: int, orders: int) -
     for k in range(orders):
         tie = mix(hashes, k + 1)
         key = first | (tie >> np.uint64(6))
-        at = np.argpartition(key, size - 1)[:size] if size < n else slice(None)
+        at = np.argpartition(key, size - 1)[:size] if size < n else np.arange(n)
+        at = at[np.argsort(key[at])]
         out.append((tie[at] & ~np.uint64(3)) | np.uint64(k))
-    return out
+    return np.concatenate(out), np.tile(np.arange(size, dtype=np.int32), orders)
 
 
 def _postings(docs: DataFrame, rank: np.ndarray, percent: int, orders: int) -> DataFrame:
-    """(token, class, n) of every prefix token under every order; copies are left out while a task remembers them."""
+    """(token, class, n, place) of every prefix token under every order; copies are left out while a task remembers them."""
     sent = docs.sparkSession.sparkContext.broadcast(rank)  # COUNTERS bytes
 
     def run(it):
         rank, seen = sent.value, set()
+
+        def flush(columns: tuple[list, ...]) -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], ["token", "class", "n", "place"])
+            for x in columns:
+                x.clear()
+            return out
+
         for batch in it:
-            tokens, classes, sizes = [], [], []
+            columns, size = ([], [], [], []), 0
             for text in batch["text"]:
                 words = _words(text.as_py())
                 if not words or (which := _class_of(words)) in seen:
@@ -125,17 +144,18 @@ def _postings(docs: DataFrame, rank: np.ndarray, percent: int, orders: int) -> D
                     seen.clear()
                 seen.add(which)
                 hashes = np.unique(shingle_hashes(words, WIDTH))
-                found = np.concatenate(_prefixes(hashes, rank, percent, orders))
-                tokens.append(found.view(np.int64))
-                classes.append(np.full(len(found), which, np.int64))
-                sizes.append(np.full(len(found), len(hashes), np.int32))
-                if sum(map(len, tokens)) > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes)], ["token", "class", "n"])
-                    tokens, classes, sizes = [], [], []
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes)], ["token", "class", "n"])
+                tokens, places = _prefixes(hashes, rank, percent, orders)
+                for column, x in zip(columns, (tokens.view(np.int64), np.full(len(tokens), which, np.int64),
+                                               np.full(len(tokens), len(hashes), np.int32), places)):
+                    column.append(x)
+                size += len(tokens)
+                if size > 200_000:
+                    yield flush(columns)
+                    size = 0
+            if size:
+                yield flush(columns)
 
-    return texts(docs).select("text").mapInArrow(run, "token long, class long, n int")
+    return texts(docs).select("text").mapInArrow(run, "token long, class long, n int, place int")
 
 
 def _bits(classes: DataFrame) -> np.ndarray:
@@ -225,15 +245,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _alike(n: str, m: str, percent: int) -> Column:
+def _alike(n: Column | str, m: Column | str, percent: int) -> Column:
     """Sizes that allow the similarity."""
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def _bit(order: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1), order.cast("int"))
-
-
 def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Postings with their component, of the lists that still join several components."""
     if labels is None:
@@ -244,27 +260,40 @@ def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame
         "lo <> hi").drop("lo", "hi")
 
 
-def _star_pairs(postings: DataFrame, round_: int, percent: int) -> DataFrame:
-    """For each class the hub of another component that it meets in most lists of the first order."""
-    first = postings.where(F.col("token").bitwiseAND(F.lit(3)) == 0)
-    hub = F.min(F.struct(F.xxhash64("component", F.lit(round_)).alias("h"), F.xxhash64("class", F.lit(round_)).alias("g"),
-                         F.col("class"), F.col("component"), F.col("n"))).over(Window.partitionBy("token"))
-    met = first.withColumn("hub", hub).where((F.col("hub.component") != F.col("component")) & _alike("n", "hub.n", percent))
-    met = met.groupBy(F.col("class").alias("a"), F.col("hub.class").alias("b")).agg(F.count("*").alias("times"))
-    return met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
+def _star_pairs(postings: DataFrame, round_: int, hubs: int, percent: int) -> DataFrame:
+    """For each class, ``hubs`` times, the hub of another component that it meets in most lists of the first order.
+
+    A class that meets a hub in less than a quarter of its prefix is left to the last round.
+    """
+    own = Window.partitionBy("token")
+    chosen = [F.min(F.struct(F.xxhash64("component", F.lit(round_ * hubs + i)).alias("h"), F.xxhash64("class", F.lit(i)).alias("g"),
+                             F.col("class"), F.col("component"), F.col("n"), F.lit(i).alias("i"))).over(own) for i in range(hubs)]
+    first = postings.where(F.col("token").bitwiseAND(F.lit(3)) == 0).withColumn("hubs", F.array(*chosen))
+    open_ = F.filter("hubs", lambda x: (x["component"] != F.col("component")) & _alike(F.col("n"), x["n"], percent))
+    met = first.select(F.col("class").alias("a"), "n", F.explode(open_).alias("hub"))
+    met = met.groupBy("a", F.col("hub.class").alias("b"), F.col("hub.i").alias("i")).agg(F.count("*").alias("times"), F.first("n").alias("n"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    best = met.where(F.col("times") * 4 >= prefix).groupBy("a", "i").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
+    return best.select("a", "b").distinct()
 
 
 def _rest_pairs(postings: DataFrame, orders: int, percent: int) -> DataFrame:
-    """Every pair of classes of different components that shares prefix tokens under all orders."""
-    a = postings.select("token", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    b = postings.select("token", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    """Every pair of classes of different components that can be similar by its prefixes under all orders.
+
+    Under an order, all tokens that two sets share stand among those shared in the prefixes up to the last shared one, or
+    after it in both; that bounds the intersection from above.
+    """
+    a = postings.select("token", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    b = postings.select("token", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("pb"))
     met = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", percent))
-    met = met.select("a", "b", F.col("token").bitwiseAND(F.lit(3)).alias("k")).groupBy("a", "b").agg(
-        F.bit_or(_bit(F.col("k"))).alias("under"))
-    return met.where(F.col("under") == (1 << orders) - 1).select("a", "b")
+    met = met.withColumn("k", F.col("token").bitwiseAND(F.lit(3))).groupBy("a", "b", "k").agg(
+        F.count("*").alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    most = F.col("shared") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
+    met = met.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
+    return met.groupBy("a", "b").agg(F.count("*").alias("under")).where(F.col("under") == orders).select("a", "b")
 
 
-def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 2) -> DataFrame:
+def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 2, hubs: int = 4) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
 
     ``orders``: two to four; each costs the prefix tokens of all texts in one shuffle.
@@ -277,19 +306,16 @@ def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_ro
     every = _postings(docs, rank, percent, orders)
     own = Window.partitionBy("token")
     shared = every.withColumn("lo", F.min("class").over(own)).withColumn("hi", F.max("class").over(own)).where("lo <> hi")
-    postings = cut_lineage(shared.groupBy("token", "class").agg(F.first("n").alias("n")))
-    # a class without company under one of the orders has no link
-    under = F.bit_or(_bit(F.col("token").bitwiseAND(F.lit(3))))
-    wanted = postings.groupBy("class").agg(under.alias("under")).where(F.col("under") == (1 << orders) - 1).select("class")
-    sets = cut_lineage(_sets(docs, _bits(wanted)))
+    postings = cut_lineage(shared.groupBy("token", "class").agg(F.first("n").alias("n"), F.first("place").alias("place")))
 
     links, labels = None, None
     for k in range(star_rounds + 1):
         current = _with_components(postings, labels)
-        pairs = _rest_pairs(current, orders, percent) if k == star_rounds else _star_pairs(current, k, percent)
-        found = cut_lineage(_verified(pairs, sets, percent))
+        pairs = cut_lineage(_rest_pairs(current, orders, percent) if k == star_rounds else _star_pairs(current, k, hubs, percent))
+        wanted = _bits(pairs.select(F.explode(F.array("a", "b")).alias("class")))
+        found = cut_lineage(_verified(pairs, _sets(docs, wanted), percent))
         links = found if links is None else links.union(found)
-        labels = components(links).select(F.col("node").alias("class"), "component")
+        labels = cut_lineage(components(links).select(F.col("node").alias("class"), "component"))
 
     smallest = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     joined = smallest.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
