@@ -23,6 +23,7 @@ and ``text`` are read. Empty input gives no rows. Very long texts are hashed in
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ def _sum_blocks(found: DataFrame, blocks: int) -> np.ndarray:
     def add(key, rows):
         total = np.zeros(_BLOCK, np.int64)
         for data in rows["counters"]:
-            total += np.frombuffer(data.as_py(), np.uint32)
+            total += np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros((blocks, _BLOCK), np.int64)
@@ -63,7 +64,7 @@ def _sum_blocks(found: DataFrame, blocks: int) -> np.ndarray:
 
 def _blocks(total: np.ndarray) -> list[tuple[int, bytes]]:
     parts = total.astype(np.uint32).reshape(-1, _BLOCK)
-    return [(i, part.tobytes()) for i, part in enumerate(parts) if part.any()]
+    return [(i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(parts) if part.any()]
 
 
 _DOC = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("block", pa.int32()), ("counters", pa.binary())])
@@ -171,7 +172,7 @@ def _bits(classes: DataFrame) -> np.ndarray:
     def either(key, rows):
         total = np.zeros(_BLOCK, np.uint32)
         for data in rows["counters"]:
-            total |= np.frombuffer(data.as_py(), np.uint32)
+            total |= np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros((_BITS // 32 // _BLOCK, _BLOCK), np.uint32)
@@ -285,7 +286,11 @@ def _rest_pairs(postings: DataFrame, orders: int, percent: int) -> DataFrame:
     """
     a = postings.select("token", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("pa"))
     b = postings.select("token", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("pb"))
-    met = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", percent))
+    # the intersection a pair of these sizes needs, which also shortens both prefixes
+    need = F.floor((percent * (F.col("na") + F.col("nb")) + 99 + percent) / (100 + percent))
+    near = (F.col("pa") <= F.col("na") - need) & (F.col("pb") <= F.col("nb") - need)
+    most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    met = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", percent) & near & (most >= need))
     met = met.withColumn("k", F.col("token").bitwiseAND(F.lit(3))).groupBy("a", "b", "k").agg(
         F.count("*").alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     most = F.col("shared") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
