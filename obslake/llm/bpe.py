@@ -38,7 +38,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 CHUNK = 1 << 16  # characters looked at together
-CACHED = 300_000  # pieces of text whose tokens are remembered by a worker
+CACHED = 400_000  # pieces of text whose tokens a worker remembers: the first it meets, which are the frequent ones
 
 
 def byte_names() -> dict[str, int]:
@@ -187,9 +187,7 @@ class Encoder:
             else:
                 through = Transducer(self.merges)
                 ids = packed(through.feed(data) + through.finish())
-            if len(word) <= 64:
-                if len(self.words) >= CACHED:
-                    self.words.clear()
+            if len(word) <= 64 and len(self.words) < CACHED:
                 self.words[word] = ids
         return ids
 
@@ -211,9 +209,7 @@ class Encoder:
                     if not piece or piece[0].isspace():
                         return self._split_words(text)
                     known[i] = ids = self._split_words(" " + piece)
-                    if len(piece) <= 64:
-                        if len(self.pieces) >= CACHED:
-                            self.pieces.clear()
+                    if len(piece) <= 64 and len(self.pieces) < CACHED:
                         self.pieces[piece] = ids
         return self._split_words(first) + b"".join(known)
 

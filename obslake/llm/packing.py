@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from obslake.llm.bpe import CACHED, PATTERN, byte_names
+from obslake.llm.bpe import CACHED, PATTERN, byte_names, packed
 from obslake.llm.common import RowIds, batches, texts
 from obslake.session import cut_lineage
 
@@ -59,7 +59,7 @@ class Tokens:
 
     def whole(self, text: str) -> bytes:
         if self.fast and not any(s in text for s in self.special):
-            return np.array(self.fast(text), "<u4").tobytes()
+            return packed(self.fast(text))
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
@@ -73,10 +73,8 @@ class Tokens:
                     piece = rest[i]
                     if not piece or piece[0].isspace():
                         return self.whole(text)
-                    known[i] = ids = self.whole(" " + piece)
-                    if len(piece) <= 64:
-                        if len(self.known) >= CACHED:
-                            self.known.clear()
+                    known[i] = ids = packed(self.fast(" " + piece)) if self.fast else self.whole(" " + piece)
+                    if len(piece) <= 64 and len(self.known) < CACHED:
                         self.known[piece] = ids
         return self.whole(first) + b"".join(known)
 
