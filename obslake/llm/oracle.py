@@ -19,8 +19,9 @@ by_line AS (SELECT rid, count(*) - count(DISTINCT line) AS dups, sum(CASE WHEN
     (n >= 5 AND NOT regexp_matches(line, '{end}')) OR (bars >= 2 AND bars * 3 >= n) OR (marks >= 1 AND marks * 3 >= n)
     OR (n <= 30 AND regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{qr.BOILERPLATE}'))
     THEN 0 ELSE n END) AS n_left FROM lines WHERE n > 0 GROUP BY rid),
-windows AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS x
-  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+places AS (SELECT rid, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+windows AS (SELECT * FROM (SELECT rid, i, x || ' ' || lead(x, 1) OVER p || ' ' || lead(x, 2) OVER p AS x FROM places
+  WINDOW p AS (PARTITION BY rid ORDER BY i)) WHERE x IS NOT NULL),
 twice AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, x) >= 2),
 covered AS (SELECT rid, sum(n) AS n_repeat FROM (
   SELECT rid, least(3, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 3)) AS n FROM twice) GROUP BY rid),

@@ -88,4 +88,6 @@ def clean(docs: DataFrame) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, unchanged, with all their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return judge(docs, carried=(row,)).where("kept").select("carried_0.*")
+    # a filter on a plain column would be pushed below the projections, and evaluate them anew for every array element
+    judged = judge(docs, carried=(row,)).select("carried_0", F.explode(F.array("kept")).alias("kept"))
+    return judged.where("kept").select("carried_0.*")
