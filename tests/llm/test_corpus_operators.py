@@ -77,12 +77,19 @@ def test_class_lm_baseline_and_proper_model(some_docs):
     assert sum(r["score"] for r in got if r["held_out"]) > sum(r["base_score"] for r in got if r["held_out"])
 
 
-def test_exchange_finds_two_classes():
-    steps = np.zeros((10, 10))
+def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(2)
-    steps[:4, 4:8], steps[4:8, :4] = rng.integers(30, 70, (2, 4, 4))  # words 0-3 and 4-7 take turns
-    of = class_lm.exchange(steps, 2)
-    assert len(set(of[:4])) == 1 and len(set(of[4:8])) == 1 and of[0] != of[4]
+    steps = rng.poisson(1, (32, 32)) + 40 * (np.arange(32)[:, None] // 8 == (np.arange(32)[None, :] // 8 + 1) % 4)
+
+    def likelihood(of):
+        table = np.zeros((6, 6))
+        np.add.at(table, (of[:, None], of[None, :]), steps.astype(float))
+        f = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
+        return f(table) - f(table.sum(0)) - f(table.sum(1))
+
+    of = class_lm.exchange(steps, 4)
+    assert set(of[:30]) <= set(range(4)) and of[30] == 4 and of[31] == 5
+    assert likelihood(of) > likelihood(np.concatenate([np.arange(30) % 4, [4, 5]]))
 
 
 def test_vectors_equal_brute_force(spark):
