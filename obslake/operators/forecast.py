@@ -105,8 +105,12 @@ def _fit_series(rows: pa.Table, horizon: int, options: dict) -> pa.Table:
         day, y = rows["ds"].cast(pa.int32()).to_numpy(), rows["y"].to_numpy()
         order = np.argsort(day)
         day, y = day[order].astype(float), y[order]
+        if not np.isfinite(y).all():
+            raise ValueError("the series holds a value that is not finite")
         future = day[-1] + np.arange(1, horizon + 1)
         value, lower, upper = AdditiveModel(**options).fit(day, y).predict(future)
+        if not all(np.isfinite(x).all() for x in (value, lower, upper)):
+            raise ValueError("the fit gave a value that is not finite")
         return answer(future.astype("int32"), value, lower, upper, None)
     except Exception as problem:  # one bad series must not stop the others
         return answer([None], [None], [None], [None], f"{type(problem).__name__}: {problem}")

@@ -115,3 +115,14 @@ def test_yardsticks(spark):
         assert r.n_years == len(same) == 2 and r.forecast_value == pytest.approx(sum(same) / 2)
     short = fc.seasonal_naive(long.filter(F.col("ds") < F.lit(dt.date(2021, 3, 1))), 2).collect()
     assert all(r.forecast_value is None and r.n_years == 0 for r in short)
+
+
+def test_series_with_infinity_fails_alone():
+    import pyarrow as pa
+    from obslake.operators.forecast import _fit_series
+
+    days = pa.array(range(20_000, 20_400), pa.int32()).cast(pa.date32())
+    rows = lambda y: pa.table({"station_id": ["s"] * 400, "target": ["t"] * 400, "ds": days, "y": y})
+    good = [float(i % 7) for i in range(400)]
+    assert _fit_series(rows(good), 3, {})["error"].null_count == 3
+    assert "not finite" in _fit_series(rows([float("inf"), *good[1:]]), 3, {})["error"][0].as_py()
