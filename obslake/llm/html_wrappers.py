@@ -11,7 +11,7 @@ wrapper per task; those are merged in two steps. Wrappers are sent to the tasks
 pages and wrappers are joined by host.
 
 On a wrapper each node is judged once: menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments by tag, role
-and name; the article region by its element; and template text outside headings and paragraphs that many pages share.
+and name; the article region by its element; and template text that many pages share, in blocks other than headings, paragraphs and the like.
 A page is read along its host's wrapper, and the texts of kept nodes make its main text.
 
 Null and empty pages have an empty text. A null or odd url is the host "". Repeated rows give repeated results and count as pages.
@@ -254,7 +254,7 @@ class Wrapper:
         tag = element.tag
         parts = node[3] if node else []
         texts = [x for x in parts if x[0] == "#"]
-        template = {x[2] for x in texts if x[2] is not None and x[3] >= self.shared_by} if tag not in PROSE else set()
+        template = {x[2] for x in texts if x[2] is not None and x[3] >= self.shared_by} if tag in BLOCK - PROSE else set()
         place = 0
         block = tag in BLOCK
         if block:
