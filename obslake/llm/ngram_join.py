@@ -4,7 +4,8 @@ A document is the set of its five-word shingles (as 64-bit hashes; with fewer wo
 similarity t or more share a token among the first n - ceil(t n) + 1 of either one, under any global order of the
 tokens. Here several orders are used: all put tokens first that are rare in the corpus, each breaks ties its own way. A pair
 is a candidate only if it shares prefix tokens under every order, and at places that leave room for the similarity;
-candidates are then verified on the whole sets.
+of these, pairs whose parity signatures differ in more bits than the similarity allows tokens to differ are left out (a bit
+differs only where a token does, so no link is lost). Candidates are then verified on the whole sets.
 
 How rare a token is comes from one pass over all texts: counters addressed by hash, of a fixed number, summed over the tasks. Only
 what stands out of a counter's chance load makes a token frequent. The order is a matter of speed: any order gives the same links.
@@ -36,6 +37,7 @@ WIDTH = 5
 COUNTERS = 1 << 20
 _BLOCK = 1 << 12
 _BITS = 1 << 24
+_SIGNED = 8  # longs of a set's signature
 _SEEN = 100_000  # classes whose copies a task leaves out at once
 
 
@@ -67,11 +69,19 @@ def _blocks(total: np.ndarray) -> list[tuple[int, bytes]]:
     return [(i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(parts) if part.any()]
 
 
-_DOC = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("block", pa.int32()), ("counters", pa.binary())])
+def _signature(hashes: np.ndarray) -> list[int]:
+    """For each of 512 places, whether an odd number of the set's tokens falls there."""
+    odd = np.bincount((hashes >> np.uint64(8) & np.uint64(64 * _SIGNED - 1)).astype(np.int64), minlength=64 * _SIGNED) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
+_SIGNS = [f"s{i}" for i in range(_SIGNED)]
+_DOC = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("block", pa.int32()), ("counters", pa.binary()),
+                  *((s, pa.int64()) for s in _SIGNS)])
 
 
 def _read(docs: DataFrame) -> DataFrame:
-    """One pass: a row per document (doc_id, n, class), and rows of counters (block, counters)."""
+    """One pass: a row per document (doc_id, n, class, signature), and rows of counters (block, counters)."""
 
     def run(it):
         total = np.zeros(COUNTERS, np.int64)
@@ -86,7 +96,7 @@ def _read(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 words = _words(text.as_py())
                 hashes = np.unique(shingle_hashes(words, WIDTH))
-                rows.append((doc_id, len(hashes), _class_of(words) if words else None, None, None))
+                rows.append((doc_id, len(hashes), _class_of(words) if words else None, None, None, *_signature(hashes)))
                 held.append(hashes)
                 size += len(hashes)
                 if size > 2 * COUNTERS:
@@ -95,9 +105,9 @@ def _read(docs: DataFrame) -> DataFrame:
             if held:
                 count()
             yield from batches(rows, _DOC, 20_000)
-        yield from batches([(None, None, None, *b) for b in _blocks(total)], _DOC, 64)
+        yield from batches([(None, None, None, *b, *[None] * _SIGNED) for b in _blocks(total)], _DOC, 64)
 
-    return texts(docs).mapInArrow(run, "doc_id long, n long, class long, block int, counters binary")
+    return texts(docs).mapInArrow(run, "doc_id long, n long, class long, block int, counters binary, " + ", ".join(f"{s} long" for s in _SIGNS))
 
 
 def rarity(counters: np.ndarray) -> np.ndarray:
@@ -298,6 +308,14 @@ def _rest_pairs(postings: DataFrame, orders: int, percent: int) -> DataFrame:
     return met.groupBy("a", "b").agg(F.count("*").alias("under")).where(F.col("under") == orders).select("a", "b")
 
 
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can be similar by their signatures, which are a fraction of the sets' size."""
+    side = [classes.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), *(F.col(s).alias(f"{s}{x}") for s in _SIGNS)) for x in "ab"]
+    differ = sum((F.bit_count(F.col(f"{s}a").bitwiseXOR(F.col(f"{s}b"))) for s in _SIGNS), F.lit(0))
+    size = F.col("na") + F.col("nb")
+    return pairs.join(side[0], "a").join(side[1], "b").where((100 + percent) * (size - differ) >= 2 * percent * size).select("a", "b")
+
+
 def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 2, hubs: int = 4) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
 
@@ -307,6 +325,8 @@ def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_ro
         raise ValueError("between one and four orders")
     read = cut_lineage(_read(docs))
     rows = read.where("block is null").select("doc_id", "n", "class")
+    classes = cut_lineage(read.where("class is not null").groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), *(F.first(x).alias(x) for x in ("n", *_SIGNS))))
     rank = rarity(_sum_blocks(read.where("block is not null").select("block", "counters"), COUNTERS // _BLOCK))
     every = _postings(docs, rank, percent, orders)
     own = Window.partitionBy("token")
@@ -316,14 +336,14 @@ def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_ro
     links, labels = None, None
     for k in range(star_rounds + 1):
         current = _with_components(postings, labels)
-        pairs = cut_lineage(_rest_pairs(current, orders, percent) if k == star_rounds else _star_pairs(current, k, hubs, percent))
+        pairs = _rest_pairs(current, orders, percent) if k == star_rounds else _star_pairs(current, k, hubs, percent)
+        pairs = cut_lineage(_possible(pairs, classes, percent))
         wanted = _bits(pairs.select(F.explode(F.array("a", "b")).alias("class")))
         found = cut_lineage(_verified(pairs, _sets(docs, wanted), percent))
         links = found if links is None else links.union(found)
         labels = cut_lineage(components(links).select(F.col("node").alias("class"), "component"))
 
-    smallest = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    joined = smallest.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    joined = classes.select("class", "doc_id").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     of_component = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = joined.select("class", "component").join(of_component, "component").select("class", "component_id")
     return rows.join(of_class, "class", "left").select(
