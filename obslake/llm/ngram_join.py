@@ -316,7 +316,7 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side[0], "a").join(side[1], "b").where((100 + percent) * (size - differ) >= 2 * percent * size).select("a", "b")
 
 
-def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 2, hubs: int = 4) -> DataFrame:
+def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 1, hubs: int = 4) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
 
     ``orders``: two to four; each costs the prefix tokens of all texts in one shuffle.
