@@ -274,10 +274,13 @@ def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame
 def _star_pairs(postings: DataFrame, round_: int, hubs: int, percent: int) -> DataFrame:
     """For each class, ``hubs`` times, the hub of another component that it meets in most lists of the first order.
 
+    Every second hub of a list is the class that has the token at its first place: it holds the fewest rare tokens before, so of a
+    group of near copies it is one with few changes, which most others are like. The rest are chosen by hash.
     A class that meets a hub in less than a quarter of its prefix is left to the last round.
     """
     own = Window.partitionBy("token")
-    chosen = [F.min(F.struct(F.xxhash64("component", F.lit(round_ * hubs + i)).alias("h"), F.xxhash64("class", F.lit(i)).alias("g"),
+    by = [F.col("place").cast("long") if i % 2 == 0 else F.xxhash64("component", F.lit(round_ * hubs + i)) for i in range(hubs)]
+    chosen = [F.min(F.struct(by[i].alias("h"), F.xxhash64("class", F.lit(round_ * hubs + i)).alias("g"),
                              F.col("class"), F.col("component"), F.col("n"), F.lit(i).alias("i"))).over(own) for i in range(hubs)]
     first = postings.where(F.col("token").bitwiseAND(F.lit(3)) == 0).withColumn("hubs", F.array(*chosen))
     open_ = F.filter("hubs", lambda x: (x["component"] != F.col("component")) & _alike(F.col("n"), x["n"], percent))
