@@ -364,9 +364,13 @@ def rank_stations(
 def hottest_station(
     daily: DataFrame, stations: DataFrame, date_keys: Sequence[str] = (), calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """Name of the station with the highest mean temperature per date context; ties are concatenated."""
+    """Name of the station with the highest mean temperature per date context; ties are concatenated.
+
+    Only stations of the dimension compete, so a context whose warmest facts are of no known station has a winner too.
+    """
     values = evaluate(daily, ["temp_avg"], ["station_id", *date_keys], calendar)
-    best = top_with_ties(values, date_keys, "temp_avg").join(stations.select("station_id", "station_name"), "station_id")
+    known = values.join(stations.select("station_id", "station_name"), "station_id")
+    best = top_with_ties(known, date_keys, "temp_avg")
     ties = F.array_join(F.sort_array(F.collect_list("station_name")), "")
     return best.groupBy(*date_keys).agg(ties.alias("hottest_station"))
 

@@ -47,9 +47,15 @@ def _parse_options(reader):
     )
 
 
+def _unescaped(text: Column) -> Column:
+    """%XX turned back into characters; a plus sign is one, and what is no escape stays."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
 def _with_lineage(df: DataFrame) -> DataFrame:
     source, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
-    folder = F.substring_index(F.substring_index(path, "station_id=", -1), "/", 1)
+    # the path is a URI of a folder whose name is escaped itself
+    folder = _unescaped(_unescaped(F.substring_index(F.substring_index(path, "station_id=", -1), "/", 1)))
     name = F.left(source, F.length(source) - F.lit(len(".txt")))
     return df.withColumns({
         "station_id": F.when(path.contains("station_id="), folder).otherwise(name),
