@@ -116,6 +116,14 @@ def test_export_writes_what_the_reader_reads(spark, raw, tmp_path):
     assert sorted(map(str, again.select(columns).collect())) == sorted(map(str, rows.select(columns).collect()))
 
 
+@pytest.mark.parametrize("station", ["Estación A:1", "50% + 1", "a%3Ab", "%zz"])
+def test_station_ids_survive_export_and_reading(spark, raw, tmp_path, station):
+    out = str(tmp_path / "out")
+    rows = text.read_exports(spark, raw).withColumn("station_id", F.lit(station))
+    text.write_exports(rows, dim_station(spark), out)
+    assert {r.station_id for r in text.read_exports(spark, out).select("station_id").collect()} == {station}
+
+
 def test_large_export_is_in_time_order(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     exports.write(raw, "STN_CN_01", exports.days(40, start="2023-01-20"))

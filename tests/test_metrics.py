@@ -209,6 +209,7 @@ def test_rankings(spark):
         daily, stations, {"temp_avg": "rank_temp", "etp_sum": "rank_etp"}).collect()}
     assert got == {"a": (1, 2), "b": (1, 1), "d": (2, 4), "c": (3, 3)}
     assert hottest_station(daily, stations).first().hottest_station == "AB"
+    assert hottest_station(daily, stations.where("station_id in ('c', 'd')")).first().hottest_station == "C"
     by_year = rank_stations(daily, stations, {"etp_sum": "rank_etp"}, ["year"], cal.dim_date(spark)).collect()
     assert len(by_year) == 4 and {r.year for r in by_year} == {2023}
 
