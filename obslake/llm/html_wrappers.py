@@ -10,8 +10,9 @@ Every page of every host takes part. Tasks fold their own pages first, so a host
 wrapper per task; those are merged in two steps. Wrappers are sent to the tasks if they are small together (measured), else
 pages and wrappers are joined by host.
 
-On a wrapper each node is judged once: menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments by tag, role
-and name; the article region by its element; and template text that many pages share, in blocks other than headings, paragraphs and the like.
+Nodes are judged: menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments by tag, role and name; the article
+region by the first element of those that hold articles that the page itself has, so that a host's layouts don't empty each other's
+pages; and template text that many pages share, in blocks other than headings, paragraphs and the like.
 A page is read along its host's wrapper, and the texts of kept nodes make its main text.
 
 Null and empty pages have an empty text. A null or odd url is the host "". Repeated rows give repeated results and count as pages.
@@ -215,7 +216,6 @@ class Wrapper:
 
     def __init__(self, tree: list, shared_by: int = 3) -> None:
         self.tree, self.shared_by = tree, shared_by
-        self.region = self._region(tree)
 
     def _dropped(self, kind: str, in_region: bool) -> bool:
         tag, names, role, unseen = _names(kind)
@@ -225,28 +225,29 @@ class Wrapper:
             return True
         return not in_region and (tag == "header" or bool(_HEADER.search(names) and tag not in HEADINGS | {"html", "body"}))
 
-    def _region(self, tree: list):
-        """Which elements hold the article: the first of these that the wrapper has outside dropped parts."""
+    def _region(self, page: Element):
+        """Which elements hold the article: the first of these that the page has outside dropped parts, else None for all of it."""
         tests = (
             lambda tag, names, role: tag == "article", lambda tag, names, role: tag == "main" or role == "main",
             lambda tag, names, role: tag in ("div", "section", "td") and bool(_CONTENT.search(names)))
         for test in tests:
-            todo = [tree]
+            todo = [page]
             while todo:
-                node = todo.pop()
-                if node[0] == "#" or self._dropped(node[0], True):
+                element = todo.pop()
+                if isinstance(element, str) or self._dropped(element.kind, True):
                     continue
-                if test(*_names(node[0])[:3]):
+                if test(*_names(element.kind)[:3]):
                     return test
-                todo += node[3]
+                todo += element.children
         return None
 
     def text_of(self, page: Element) -> str:
         out: list[str] = []
-        self._read(page, self.tree, self.region is None, None, out)
+        region = self._region(page)
+        self._read(page, self.tree, region, region is None, None, out)
         return " ".join(" ".join(html.unescape(x) for x in "".join(out).split("\0")).split())
 
-    def _read(self, element: Element, node: list | None, inside: bool, header: bool | None, out: list[str]) -> None:
+    def _read(self, element: Element, node: list | None, region, inside: bool, header: bool | None, out: list[str]) -> None:
         """``inside``: in the article region; ``header``: in a header there, of which only headings are kept.
 
         Blocks are parted by a mark that no text holds; character references are read after that, block by block.
@@ -272,7 +273,7 @@ class Wrapper:
                 k = next((i for i, x in enumerate(parts) if x[0] == child.kind), None)
             else:
                 place = k
-            here = inside or (self.region is not None and self.region(*_names(child.kind)[:3]))
+            here = inside or (region is not None and region(*_names(child.kind)[:3]))
             if self._dropped(child.kind, here and inside):
                 if child.tag in BLOCK:
                     out.append("\0")
@@ -282,7 +283,7 @@ class Wrapper:
                 in_header = True
             if child.tag in HEADINGS:
                 in_header = None
-            self._read(child, parts[k] if k is not None else None, here, in_header, out)
+            self._read(child, parts[k] if k is not None else None, region, here, in_header, out)
         if block:
             out.append("\0")
 

@@ -191,6 +191,19 @@ def test_pages_with_other_parts(spark):
     assert html_wrappers.extract(df.where("page_id < 0")).count() == 0
 
 
+def test_pages_of_one_host_keep_their_own_layout(spark):
+    pages = {1: "<nav>menu</nav><article><p>first</p></article><div>tail</div>", 2: "<nav>menu</nav><main><p>second</p></main><div>tail 2</div>",
+             3: "<nav>menu</nav><div class=content><p>third</p></div><div>tail 3</div>", 4: "<nav>menu</nav><p>fourth</p>",
+             5: "<aside><article>ad</article></aside><main><p>fifth</p></main>", 13: "<div>" * 3_000 + "deep"}
+    want = {1: "first", 2: "second", 3: "third", 4: "fourth", 5: "fifth", 13: "deep"}
+    for url in ("http://a.example/y", None, "/relative"):
+        df = spark.createDataFrame([(i, url, page) for i, page in pages.items()], "page_id long, url string, html string")
+        assert {r["page_id"]: r["text"] for r in html_wrappers.extract(df).collect()} == want
+        for i in pages:  # a page by itself gives the same
+            wrapper = html_wrappers.Wrapper(html_wrappers.wrapper_of(html_wrappers.parse(pages[i])))
+            assert wrapper.text_of(html_wrappers.parse(pages[i])) == want[i]
+
+
 def test_wrapper_aligns_into_optional_repeated_and_slots():
     w = lambda page: html_wrappers.wrapper_of(html_wrappers.parse(page))
     both = html_wrappers.merged(w("<ul><li>a<li>b</ul><h2>Same</h2>"), w("<ul><li>c</ul><hr><h2>Same</h2>"))
