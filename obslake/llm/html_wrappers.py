@@ -2,8 +2,9 @@
 
 A page is a tree of elements (tag with its class, id and role) and texts. Sibling runs of one kind, and groups of two or three
 kinds that follow each other again, are folded into repeated groups. Two pages, or a page and a wrapper, are aligned
-child list by child list: what stands in one only becomes optional, texts that differ become a slot, equal ones stay template
-text with the number of pages that have them. There are no alternatives, so a wrapper grows with a host's layouts,
+child list by child list: what stands in one only becomes optional, texts that differ become a slot, equal ones stay text
+with the hashes of the first few different pages that have them. Text is template only if pages of different words share it: copies of one
+page, and lines that come again within a page, are one. There are no alternatives, so a wrapper grows with a host's layouts,
 not with its pages.
 
 Every page of every host takes part. Tasks fold their own pages first, so a host with a third of all pages reaches the merge as one
@@ -15,13 +16,14 @@ region by the first element of those that hold articles that the page itself has
 pages; and template text that many pages share, in blocks other than headings, paragraphs and the like.
 A page is read along its host's wrapper, and the texts of kept nodes make its main text.
 
-Null and empty pages have an empty text. A null or odd url is the host "". Repeated rows give repeated results and count as pages.
+Null and empty pages have an empty text. A null or odd url is the host "". Repeated rows give repeated results and count once.
 Only page_id, url and html are read. Elements nested deeper than ``DEPTH`` are read as their ancestor at that depth.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import html
 import json
 import re
@@ -35,6 +37,7 @@ from obslake.llm.common import batches
 from obslake.session import cut_lineage
 
 DEPTH = 120
+SHARED = 3  # different pages that make a text template; so many are known of a text
 _SMALL = 32 << 20  # bytes of wrappers that are sent to every task
 _FLUSH = 5_000  # wrappers a task holds before it passes them on
 
@@ -130,11 +133,25 @@ def parse(page: str) -> Element:
     return root
 
 
-# --- wrappers: [kind, optional, repeated, children] or ["#", optional, text or None for a slot, pages] --------------------------
+def words_hash(element: Element) -> int:
+    """A hash of a page's words, which copies share whatever their scripts and attributes hold."""
+    out, todo = [], [element]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            todo += x.children
+    return int.from_bytes(hashlib.blake2b(" ".join(" ".join(out).split()).encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
+
+
+# --- wrappers: [kind, optional, repeated, children] or ["#", optional, text or None for a slot, times, hashes of pages ...] ----
 
 def _merged_text(a: list, b: list) -> list:
-    same = a[2] is not None and a[2] == b[2]
-    return ["#", a[1] or b[1], a[2] if same else None, a[3] + b[3]]
+    if a[2] is None or a[2] != b[2]:
+        return ["#", a[1] or b[1], None, a[3] + b[3]]
+    # the least few of all hashes, whatever the order of merging: no fewer than that are known if there are more
+    return ["#", a[1] or b[1], a[2], a[3] + b[3], *sorted({*a[4:], *b[4:]})[:SHARED]]
 
 
 def merged(a: list, b: list) -> list:
@@ -186,14 +203,14 @@ def fold(nodes: list[list]) -> list[list]:
     return out
 
 
-def wrapper_of(element: Element) -> list:
-    """The wrapper of one page's element; texts of more than 80 characters are slots at once."""
+def wrapper_of(element: Element, *page: int) -> list:
+    """The wrapper of one page's element; texts of more than 80 characters are slots at once. ``page``: the hash of its words."""
     children, text = [], ""
 
     def close_text() -> None:
         words = " ".join(html.unescape(text).split())
         if words:
-            children.append(["#", False, words if len(words) <= 80 else None, 1])
+            children.append(["#", False, words, 1, *page] if len(words) <= 80 else ["#", False, None, 1])
 
     for child in element.children:
         if isinstance(child, str):
@@ -201,7 +218,7 @@ def wrapper_of(element: Element) -> list:
         else:
             close_text()
             text = ""
-            children.append(wrapper_of(child))
+            children.append(wrapper_of(child, *page))
     close_text()
     return [element.kind, False, False, fold(children)]
 
@@ -214,7 +231,7 @@ def _names(kind: str) -> tuple[str, str, str, bool]:
 class Wrapper:
     """A host's wrapper with each node judged; ``text_of`` reads a page along it."""
 
-    def __init__(self, tree: list, shared_by: int = 3) -> None:
+    def __init__(self, tree: list, shared_by: int = SHARED) -> None:
         self.tree, self.shared_by = tree, shared_by
 
     def _dropped(self, kind: str, in_region: bool) -> bool:
@@ -255,7 +272,7 @@ class Wrapper:
         tag = element.tag
         parts = node[3] if node else []
         texts = [x for x in parts if x[0] == "#"]
-        template = {x[2] for x in texts if x[2] is not None and x[3] >= self.shared_by} if tag in BLOCK - PROSE else set()
+        template = {x[2] for x in texts if len(x) - 4 >= self.shared_by} if tag in BLOCK - PROSE else set()
         place = 0
         block = tag in BLOCK
         if block:
@@ -305,7 +322,8 @@ def infer(pages: DataFrame, parts: int = 64) -> DataFrame:
         known: dict[str, list] = {}
         for batch in it:
             for url, page in zip(batch["url"].to_pylist(), batch["html"], strict=True):
-                host, tree = host_of(url), wrapper_of(parse(page.as_py()))
+                host, tree = host_of(url), parse(page.as_py())
+                tree = wrapper_of(tree, words_hash(tree))
                 known[host] = merged(known[host], tree) if host in known else tree
             if len(known) >= _FLUSH:
                 yield from batches([(h, json.dumps(t)) for h, t in known.items()], _WRAPPER, 500)

@@ -204,6 +204,19 @@ def test_pages_of_one_host_keep_their_own_layout(spark):
             assert wrapper.text_of(html_wrappers.parse(pages[i])) == want[i]
 
 
+def test_template_text_is_shared_by_different_pages(spark):
+    copy = "<body><script>{0}</script><article id='{0}'><div>one line</div><section>two</section></article></body>"
+    shared = "<article><p>page {0}</p><div class=box>Read our terms</div></article>"
+    rows = [(i, "http://copies.example/", copy.format(i)) for i in range(5)]
+    rows += [(10, "http://lines.example/", "<article>" + "<div>same</div>" * 4 + "</article>")]
+    rows += [(20 + i, "http://two.example/", shared.format(i % 2)) for i in range(6)]
+    rows += [(30 + i, "http://three.example/", shared.format(i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_wrappers.extract(df).collect()}
+    assert {got[i] for i in range(5)} == {"one line two"} and got[10] == "same same same same"
+    assert got[20] == "page 0 Read our terms" and [got[30 + i] for i in range(3)] == ["page 0", "page 1", "page 2"]
+
+
 def test_wrapper_aligns_into_optional_repeated_and_slots():
     w = lambda page: html_wrappers.wrapper_of(html_wrappers.parse(page))
     both = html_wrappers.merged(w("<ul><li>a<li>b</ul><h2>Same</h2>"), w("<ul><li>c</ul><hr><h2>Same</h2>"))
