@@ -17,7 +17,8 @@ pages; and template text that many pages share, in blocks other than headings, p
 A page is read along its host's wrapper, and the texts of kept nodes make its main text.
 
 Null and empty pages have an empty text. A null or odd url is the host "". Repeated rows give repeated results and count once.
-Only page_id, url and html are read. Elements nested deeper than ``DEPTH`` are read as their ancestor at that depth.
+Only page_id, url and html are read. Pages are parsed and read at any depth; in a wrapper all that is nested deeper than ``DEPTH`` stands in
+one list of its ancestor at that depth.
 """
 
 from __future__ import annotations
@@ -55,6 +56,7 @@ DROPPED = set("head title script style noscript template svg math iframe object
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | set("p blockquote pre li td th dd dt figcaption".split())
+TEMPLATED = BLOCK - PROSE
 
 _NAMED = re.compile(
     r"(?:^|[-_ ])(?:ads?|adv|advert\w*|adslot|adbox|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|notification\w*|alerts?"
@@ -94,14 +96,20 @@ def parse(page: str) -> Element:
     """A page as a tree; raw elements (scripts, styles, titles) are left out."""
     root = Element("", "")
     open_: list[Element] = [root]
+    places: dict[str, list[int]] = {}  # of the open elements, by tag: no depth makes a tag slow
 
-    def close_to(names: set[str], within: set[str]) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i].tag in names:
-                del open_[i:]
-                return
-            if open_[i].tag in within:
-                return
+    def close(i: int) -> None:
+        for element in open_[i:]:
+            places[element.tag].pop()
+        del open_[i:]
+
+    def last(tags: tuple[str, ...]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def close_to(names: tuple[str, ...], within: tuple[str, ...]) -> None:
+        i = last(names)
+        if i > last(within):
+            close(i)
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -113,20 +121,19 @@ def parse(page: str) -> Element:
             continue
         tag = tag.lower()
         if m["close"]:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].tag == tag:
-                    del open_[i:]
-                    break
+            if places.get(tag):
+                close(places[tag][-1])
             continue
-        if tag in CLOSES_P:
-            close_to({"p"}, {"table", "td", "th", "button"})
+        if tag in CLOSES_P and places.get("p"):
+            close_to(("p",), ("table", "td", "th", "button"))
         if tag in SAME:
             names, within = SAME[tag]
             for _ in range(3):
-                close_to(set(names.split()), set(within.split()))
+                close_to(tuple(names.split()), tuple(within.split()))
         element = Element(kind_of(tag, m["rest"]), tag)
         open_[-1].children.append(element)
-        if tag not in VOID and not m["rest"].endswith("/") and len(open_) < DEPTH:
+        if tag not in VOID and not m["rest"].endswith("/"):
+            places.setdefault(tag, []).append(len(open_))
             open_.append(element)
     if at < len(page):
         open_[-1].children.append(page[at:])
@@ -203,23 +210,49 @@ def fold(nodes: list[list]) -> list[list]:
     return out
 
 
-def wrapper_of(element: Element, *page: int) -> list:
-    """The wrapper of one page's element; texts of more than 80 characters are slots at once. ``page``: the hash of its words."""
-    children, text = [], ""
+def _parts(element: Element, page: tuple[int, ...]) -> list[list | Element]:
+    """An element's texts as nodes and its child elements, in order."""
+    out, text = [], ""
 
     def close_text() -> None:
         words = " ".join(html.unescape(text).split())
         if words:
-            children.append(["#", False, words, 1, *page] if len(words) <= 80 else ["#", False, None, 1])
+            out.append(["#", False, words, 1, *page] if len(words) <= 80 else ["#", False, None, 1])
 
     for child in element.children:
         if isinstance(child, str):
             text += child
         else:
-            close_text()
-            text = ""
-            children.append(wrapper_of(child, *page))
-    close_text()
+            if text:
+                close_text()
+                text = ""
+            out.append(child)
+    if text:
+        close_text()
+    return out
+
+
+def _flat(element: Element, page: tuple[int, ...]) -> list[list]:
+    """An element and all within it, in one list; each holds its own texts."""
+    out, todo = [], [element]
+    while todo:
+        x = todo.pop()
+        parts = _parts(x, page)
+        out.append([x.kind, False, False, fold([p for p in parts if isinstance(p, list)])])
+        todo += [p for p in reversed(parts) if not isinstance(p, list)]
+    return out
+
+
+def wrapper_of(element: Element, *page: int, depth: int = 1) -> list:
+    """The wrapper of one page's element; texts of more than 80 characters are slots at once. ``page``: the hash of its words."""
+    children = []
+    for part in _parts(element, page):
+        if isinstance(part, list):
+            children.append(part)
+        elif depth < DEPTH:
+            children.append(wrapper_of(part, *page, depth=depth + 1))
+        else:
+            children += _flat(part, page)
     return [element.kind, False, False, fold(children)]
 
 
@@ -259,50 +292,57 @@ class Wrapper:
         return None
 
     def text_of(self, page: Element) -> str:
+        """Blocks are parted by a mark that no text holds; character references are read after that, block by block."""
         out: list[str] = []
         region = self._region(page)
-        self._read(page, self.tree, region, region is None, None, out)
-        return " ".join(" ".join(html.unescape(x) for x in "".join(out).split("\0")).split())
 
-    def _read(self, element: Element, node: list | None, region, inside: bool, header: bool | None, out: list[str]) -> None:
-        """``inside``: in the article region; ``header``: in a header there, of which only headings are kept.
-
-        Blocks are parted by a mark that no text holds; character references are read after that, block by block.
-        """
-        tag = element.tag
-        parts = node[3] if node else []
-        texts = [x for x in parts if x[0] == "#"]
-        template = {x[2] for x in texts if len(x) - 4 >= self.shared_by} if tag in BLOCK - PROSE else set()
-        place = 0
-        block = tag in BLOCK
-        if block:
-            out.append("\0")
-        for child in element.children:
-            if isinstance(child, str):
-                if inside and not header and not (template and " ".join(html.unescape(child).split()) in template):
-                    out.append(child.replace("\0", " "))
-                continue
-            if child.tag == "br":
+        def opened(element: Element, node: list | None, parts: list, inside: bool, header: bool | None) -> tuple:
+            """``inside``: in the article region; ``header``: in a header there, of which only headings are kept.
+
+            ``parts``: the nodes of its children, and the place of the last one met.
+            """
+            template = {x[2] for x in node[3] if x[0] == "#" and len(x) - 4 >= self.shared_by} if node and element.tag in TEMPLATED else set()
+            block = element.tag in BLOCK
+            if block:
                 out.append("\0")
-                continue
-            k = next((i for i in range(place, len(parts)) if parts[i][0] == child.kind), None)
-            if k is None:
-                k = next((i for i, x in enumerate(parts) if x[0] == child.kind), None)
+            return iter(element.children), parts, template, inside, header, block
+
+        stack = [opened(page, self.tree, [self.tree[3], 0], region is None, None)]
+        while stack:
+            children, parts, template, inside, header, block = stack[-1]
+            for child in children:
+                if isinstance(child, str):
+                    if inside and not header and not (template and " ".join(html.unescape(child).split()) in template):
+                        out.append(child.replace("\0", " "))
+                    continue
+                if child.tag == "br":
+                    out.append("\0")
+                    continue
+                nodes, place = parts
+                k = next((i for i in range(place, len(nodes)) if nodes[i][0] == child.kind), None)
+                if k is None:
+                    k = next((i for i, x in enumerate(nodes) if x[0] == child.kind), None)
+                else:
+                    parts[1] = k
+                here = inside or (region is not None and region(*_names(child.kind)[:3]))
+                if self._dropped(child.kind, here and inside):
+                    if child.tag in BLOCK:
+                        out.append("\0")
+                    continue
+                in_header = header
+                if inside and (child.tag == "header" or _HEADER.search(_names(child.kind)[1])):
+                    in_header = True
+                if child.tag in HEADINGS:
+                    in_header = None
+                node = nodes[k] if k is not None else None
+                below = [node[3] if node else [], 0] if len(stack) < DEPTH else parts
+                stack.append(opened(child, node, below, here, in_header))
+                break
             else:
-                place = k
-            here = inside or (region is not None and region(*_names(child.kind)[:3]))
-            if self._dropped(child.kind, here and inside):
-                if child.tag in BLOCK:
+                if block:
                     out.append("\0")
-                continue
-            in_header = header
-            if inside and (child.tag == "header" or _HEADER.search(_names(child.kind)[1])):
-                in_header = True
-            if child.tag in HEADINGS:
-                in_header = None
-            self._read(child, parts[k] if k is not None else None, region, here, in_header, out)
-        if block:
-            out.append("\0")
+                stack.pop()
+        return " ".join(" ".join(html.unescape(x) for x in "".join(out).split("\0")).split())
 
 
 def host_of(url: str | None) -> str:

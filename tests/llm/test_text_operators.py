@@ -1,6 +1,7 @@
 """Licence scan, quality rules, packing, page texts and byte-pair encoding against brute force."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -217,6 +218,25 @@ def test_template_text_is_shared_by_different_pages(spark):
     assert got[20] == "page 0 Read our terms" and [got[30 + i] for i in range(3)] == ["page 0", "page 1", "page 2"]
 
 
+@pytest.mark.parametrize("n", [5, 118, 119, 120, 130, 20_000])
+def test_pages_nested_to_any_depth(n):
+    inner = "<nav>menu</nav><form>mail</form><p>inner {0}<p>more<div>Read our terms</div>"
+    page = "<div><article><p>before</p>" + "<div>" * n + inner + "</div>" * n + "<p>after</p></article></div><p>outside</p>"
+    trees = [html_wrappers.parse(page.format(i)) for i in range(3)]
+    total = html_wrappers.wrapper_of(trees[0], html_wrappers.words_hash(trees[0]))
+    assert html_wrappers.Wrapper(total).text_of(trees[0]) == "before inner 0 more Read our terms after"
+    for tree in trees[1:]:
+        total = html_wrappers.merged(total, html_wrappers.wrapper_of(tree, html_wrappers.words_hash(tree)))
+    total = json.loads(json.dumps(total))
+    assert [html_wrappers.Wrapper(total).text_of(t) for t in trees] == [f"before inner {i} more after" for i in range(3)]
+
+
+def test_article_below_the_depth_is_found():
+    page = "<div>" * 150 + "<article><p>text</p></article>" + "</div>" * 150 + "<p>outside</p>"
+    tree = html_wrappers.parse(page)
+    assert html_wrappers.Wrapper(html_wrappers.wrapper_of(tree)).text_of(tree) == "text"
+
+
 def test_wrapper_aligns_into_optional_repeated_and_slots():
     w = lambda page: html_wrappers.wrapper_of(html_wrappers.parse(page))
     both = html_wrappers.merged(w("<ul><li>a<li>b</ul><h2>Same</h2>"), w("<ul><li>c</ul><hr><h2>Same</h2>"))
