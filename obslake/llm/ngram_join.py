@@ -319,11 +319,8 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side[0], "a").join(side[1], "b").where((100 + percent) * (size - differ) >= 2 * percent * size).select("a", "b")
 
 
-def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 1, hubs: int = 4) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
-
-    ``orders``: two to four; each costs the prefix tokens of all texts in one shuffle.
-    """
+def _components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 1, hubs: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, class) and classes (class, their smallest doc_id, component)."""
     if not 1 <= orders <= 4:
         raise ValueError("between one and four orders")
     read = cut_lineage(_read(docs))
@@ -347,6 +344,15 @@ def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_ro
         labels = cut_lineage(components(links).select(F.col("node").alias("class"), "component"))
 
     joined = classes.select("class", "doc_id").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    return rows, joined
+
+
+def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 1, hubs: int = 4) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
+
+    ``orders``: two to four; each costs the prefix tokens of all texts in one shuffle.
+    """
+    rows, joined = _components(docs, percent, orders, star_rounds, hubs)
     of_component = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = joined.select("class", "component").join(of_component, "component").select("class", "component_id")
     return rows.join(of_class, "class", "left").select(
@@ -354,8 +360,21 @@ def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_ro
 
 
 def representatives(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that are the smallest of their component; of rows with the same id, one."""
-    kept = link_components(docs, **settings).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    one = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    return one.dropDuplicates(["doc_id"])
+    """One row of ``docs`` per component, unchanged: that of the smallest doc_id (nulls last), then of the smallest class and text hash.
+
+    Rows are matched by the class of their text and their id, so different texts that share an id, or have none, all stay.
+    Rows without words link with nothing: one stays per id, and all that have none.
+    """
+    joined = _components(docs, **settings)[1]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")).alias("first")
+    kept = joined.groupBy("component").agg(first).select(F.col("first.class").alias("kept_class"), F.col("first.doc_id").alias("kept_id"))
+    # not deterministic in name only, so that the texts are read once
+    class_of = F.udf(lambda text: _class_of(words) if text and (words := _words(text)) else None, "long", useArrow=True).asNondeterministic()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), class_of("text").alias("class"),
+                       F.xxhash64("text").alias("h"))
+    # by both keys: copies of one text lie under their ids, and only one of these is met
+    met = rows.join(kept, (F.col("class") == F.col("kept_class")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    wordless = rows.where("class is null")
+    one = [x.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy("h"))).where("place = 1").select("row")
+           for x, key in ((met, "class"), (wordless.where("id is not null"), "id"))]
+    return one[0].union(one[1]).union(wordless.where("id is null").select("row")).select("row.*")

@@ -66,6 +66,21 @@ def test_ngram_join_equals_brute_force(some_docs, docs_of):
     assert got == sorted((i, len(s), by_id[i]) for i, s in rows)
 
 
+def test_representatives_keep_one_row_of_each_group(docs_of):
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"}
+    near = text["a"].replace("a59", "x")
+    rows = [(None, text["a"]), (None, text["b"]), (None, text["b"]), (7, text["c"]), (7, text["d"]), (7, text["d"]), (3, near),
+            (9, text["e"]), (None, text["e"]), (9, text["e"].upper()), (8, text["f"]), (5, text["f"]), (11, ""), (11, ""), (12, None), (7, " "),
+            (None, ""), (None, None)]
+    docs = docs_of(rows)
+    got = ngram_join.representatives(docs)
+    assert got.columns == docs.columns and got.schema == docs.schema
+    got = sorted(((r["doc_id"], (r["text"] or "").strip().lower()) for r in got.collect()), key=str)
+    want = [(3, near), (None, text["b"]), (7, text["c"]), (7, text["d"]), (9, text["e"]), (5, text["f"]), (11, ""), (12, ""), (7, ""),
+            (None, ""), (None, "")]
+    assert got == sorted(want, key=str)
+
+
 def test_class_lm_baseline_and_proper_model(some_docs):
     rows = [(r["doc_id"], [*(r["text"] or "").encode().lower().split(), None]) for r in some_docs.where("doc_id is not null").collect()]
     held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
