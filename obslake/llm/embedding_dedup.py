@@ -12,7 +12,8 @@ and one link of a spanning forest, never the pairs themselves.
 
 Rows whose label is null, or whose vector is null, empty, zero or has null or non-finite components, link with nothing:
 no links, own component, kept. Vectors of different lengths are not compared. Repeated rows are copies of each other (one with the smallest id
-is kept; rows with the same id share its fate). Only vec_id, embedding and label are read. Empty input gives no rows.
+is kept). Links are those of a row's own vector and label, whatever its id: ids can be null or clash. The component is the smallest id in it,
+null if it has none, and the rows of that id in it are kept. Only vec_id, embedding and label are read. Empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -85,10 +86,11 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = 24,
         F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
     rows = rows.withColumn("fit", fit).withColumn("h", F.xxhash64("embedding")).withColumn("g", F.hash("embedding"))
     classes = rows.where("fit").groupBy("label", "h", "g").agg(
-        F.min("vec_id").alias("class"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+        F.min("vec_id").alias("first_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     # label by its hash: any type of label is compared by equality, and buckets carry a fixed width
     classes = classes.withColumn("space", F.xxhash64("label", F.size("embedding")))
-    classes = cut_lineage(classes)
+    # numbered once, as materialised: ids can be null, or stand for several vectors and labels
+    classes = cut_lineage(classes.withColumn("class", F.monotonically_increasing_id()))
 
     def hashed(it):
         for batch in it:
@@ -156,10 +158,13 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = 24,
     found = cut_lineage(dealt.sortWithinPartitions(*group).mapInArrow(compared, "class long, links long, root long"))
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
-    of_class = classes.select(F.col("label").alias("l"), F.col("h").alias("lh"), F.col("g").alias("lg"), "class", "copies").join(
-        links, "class", "left").join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-        "l", "lh", "lg", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "class").alias("component_id"))
+    of_class = classes.select(F.col("label").alias("l"), F.col("h").alias("lh"), F.col("g").alias("lg"), "class", "copies", "first_id").join(
+        links, "class", "left").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    alone = of_class.where("component is null").withColumn("component_id", F.col("first_id"))
+    linked = of_class.where("component is not null")
+    linked = linked.join(linked.groupBy("component").agg(F.min("first_id").alias("component_id")), "component")
+    columns = ["l", "lh", "lg", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"]
+    of_class = alone.select(*columns).union(linked.select(*columns))
     same = F.col("fit") & F.col("label").eqNullSafe(F.col("l")) & (F.col("h") == F.col("lh")) & (F.col("g") == F.col("lg"))
     return rows.select("vec_id", "label", "h", "g", "fit").join(of_class, same, "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -123,6 +123,19 @@ def test_vectors_equal_brute_force(spark):
     assert embedding_dedup.link_vectors(df.where("vec_id < 0")).count() == 0
 
 
+def test_vectors_without_or_with_shared_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    near_a, near_b = [1.0, 0.01, 0.0, 0.0], [0.0, 1.0, 0.01, 0.0]
+    rows = [(None, a, 0), (None, near_a, 0), (None, c, 1), (4, c, 1),  # ids that are null
+            (5, a, 2), (5, b, 3), (6, near_a, 2), (7, near_b, 3), (8, b, 3),  # an id with two labels
+            (9, a, 4), (9, b, 4), (10, near_b, 4)]  # an id with two vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = Counter((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.link_vectors(df).collect())
+    assert got == Counter([(None, 1, None, True), (None, 1, None, True), (None, 1, 4, False), (4, 1, 4, True),
+                           (5, 1, 5, True), (6, 1, 5, False), (5, 2, 5, True), (7, 2, 5, False), (8, 2, 5, False),
+                           (9, 0, 9, True), (9, 1, 9, True), (10, 1, 9, False)])
+
+
 @pytest.mark.parametrize("operator, label, modulus, remainder", [(nbsvm, "quality", 5, 0), (toxicity, "toxic", 4, 2)])
 def test_classifiers_on_held_out_rows(spark, operator, label, modulus, remainder):
     d = "/root/testdata/sf0.01"
