@@ -1,26 +1,30 @@
 """Class-based n-grams: exchange clustering gives words classes; class transitions times word emissions score a text.
 
 Words are lower-cased (A-Z) and separated by blanks; every text ends with one end token. Spark counts all words of the
-learning rows, and all steps between the ``clustered`` most frequent words, the rest (one class) and the end. Exchange
-clustering moves each frequent word to the class that raises the likelihood of the steps most, until a round moves few
-or ``sweeps`` are over; its input is a matrix of ``clustered`` words by as many, whatever the corpus is. Then
+learning rows, and all steps between the ``clustered`` most frequent words, the rest and the end. Exchange
+clustering moves each of these words to the class that raises the likelihood of the steps most, until a round moves few
+or ``sweeps`` are over; its input is a matrix of ``clustered`` words by as many, whatever the corpus is. Every other learning word
+then gets the class under which the classes before and after it are likeliest, from its counts of both. Steps between classes
+are counted over all words. Then
 
     P(text) = product of P(class | class before) * P(word | class),
 
-transitions smoothed towards the classes' shares, emissions of frequent words by count, of the rest by count plus one,
-with one unknown word. The unigram baseline is (c + 1) / (N + V + 1).
+transitions smoothed towards the classes' shares, emissions by count. Words that learning has not seen are a class of their own, the rest,
+one unknown word whose chance is about that of the baseline. The unigram baseline is (c + 1) / (N + V + 1).
 
-Scoring sends the ``sent`` most frequent words (a bounded number, at most 64 bytes each) to the tasks. All other words of a text
-leave the pass as (word, times) of their row and meet their counts in a join; counts cover the whole corpus, and no word
-in that join is frequent in it.
+One pass sends the ``sent`` most frequent words (a bounded number, at most 64 bytes each) to the tasks and keeps of each row its steps between
+classes. Steps from or to any other word leave the pass as words and meet their classes and counts in joins; counts and classes cover the
+whole corpus, and no learning word in that join is frequent in it.
 
 Null and empty texts are the end token alone. Repeated rows are scored one by one and learnt from each time. Only ``doc_id`` and
-``text`` are read. Without learning rows N and V are 0 and every token has the same chance.
+``text`` are read. Without learning rows N and V are 0 and the baseline gives every token the same chance.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -137,43 +141,130 @@ def exchange(steps: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
     return of
 
 
+def _emit(local: dict[bytes, int], codes: list[np.ndarray], size: int) -> Iterator[pa.RecordBatch]:
+    found, n = np.unique(np.concatenate(codes), return_counts=True)
+    names = pa.array([w.decode() for w in local], pa.string())
+    schema = pa.schema([("word", pa.string()), ("key", pa.int32()), ("n", pa.int64())])
+    for i in range(0, len(found), 50_000):
+        part = found[i:i + 50_000]
+        yield pa.RecordBatch.from_arrays(
+            [names.take(pa.array(part // size)), pa.array((part % size).astype(np.int32)), pa.array(n[i:i + 50_000].astype(np.int64))], schema=schema)
+
+
+def count_contexts(docs: DataFrame, words: list[bytes], of: np.ndarray) -> DataFrame:
+    """(word, key, n) of all other words: how often each class stands before (its number) or after (that plus the classes) the word."""
+    n, rest = int(of.max()) + 1, int(of[-2])
+    sent = docs.sparkSession.sparkContext.broadcast({**dict(zip(words, of.tolist())), b"": int(of[-1])})
+
+    def run(it):
+        number, local, codes, held = sent.value.get, {}, [], 0
+        for batch in it:
+            flat, left = [b""], batch.num_rows
+            for text in batch["text"]:
+                left -= 1
+                flat += words_of(text.as_py())
+                flat.append(b"")
+                if left and len(flat) < 200_000:
+                    continue
+                classes = np.array([number(w, rest) for w in flat], np.int64)
+                at = np.flatnonzero(classes == rest)
+                ids = np.array([local.setdefault(flat[i], len(local)) for i in at.tolist()], np.int64) * (2 * n)
+                codes += [ids + classes[at - 1], ids + n + classes[at + 1]]
+                held += 2 * len(at)
+                flat = [b""]
+                if held >= 4_000_000 or len(local) >= _FLUSH:
+                    yield from _emit(local, codes, 2 * n)
+                    local, codes, held = {}, [], 0
+        if held:
+            yield from _emit(local, codes, 2 * n)
+
+    return docs.select("text").mapInArrow(run, "word string, key int, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
+
+
+def classes_of(contexts: DataFrame, steps: np.ndarray, of: np.ndarray, weight: float = 1.0) -> DataFrame:
+    """(word, c, class): each word's count, and the class that makes its neighbours likeliest."""
+    n = int(of.max()) + 1
+    table = np.zeros((n, n))
+    np.add.at(table, (of[:, None], of[None, :]), steps.astype(float))
+    before, after = (table.sum(1) + 1) / (table.sum() + n), (table.sum(0) + 1) / (table.sum() + n)
+    before = (table + weight * before[:, None]) / (table.sum(0) + weight)  # of the class before, given that of the word
+    after = (table + weight * after) / (table.sum(1, keepdims=True) + weight)
+    logs = np.log(np.concatenate([before[:, :n - 2], after.T[:, :n - 2]]))  # by key and class
+
+    def run(it):
+        schema = pa.schema([("word", pa.string()), ("c", pa.int64()), ("class", pa.int32())])
+        for batch in it:
+            for i in range(0, batch.num_rows, 1_000):
+                part = batch.slice(i, 1_000)
+                met = part["met"].flatten()
+                key, times = np.asarray(met.field("key")), np.asarray(met.field("n"))
+                first = np.concatenate([[0], np.cumsum(np.asarray(part["met"].value_lengths()))[:-1]])
+                best = np.add.reduceat(logs[key] * times[:, None], first).argmax(1)
+                c = np.add.reduceat(np.where(key >= n, times, 0), first)
+                yield pa.RecordBatch.from_arrays([part["word"], pa.array(c.astype(np.int64)), pa.array(best.astype(np.int32))], schema=schema)
+
+    met = contexts.groupBy("word").agg(F.collect_list(F.struct("key", "n")).alias("met"))  # at most two per class
+    return met.mapInArrow(run, "word string, c long, class int")
+
+
 class ClassModel:
-    """What scoring needs: for each sent word its logs; transitions; and the constants of all other words."""
-
-    def __init__(self, top: list[tuple[bytes, int]], n_tokens: int, n_types: int, steps: np.ndarray, of: np.ndarray,
-                 n_clustered: int, weight: float = 8.0) -> None:
-        k, self.sent = n_clustered, len(top)
-        self.number = {w: i for i, (w, _) in enumerate(top)}
-        c = np.array([c for _, c in top], float)
-        n_classes = int(of.max()) + 1
-        rest, end = n_classes - 2, n_classes - 1
-        table = np.zeros((n_classes, n_classes))
-        np.add.at(table, (of[:, None], of[None, :]), steps.astype(float))
-        share = (table.sum(0) + 1) / (table.sum() + n_classes)
-        self.step = np.log10((table + weight * share) / (table.sum(1, keepdims=True) + weight))
-        self.end = end
-        self.n_tokens, self.n_types = n_tokens, n_types
+    """What reading a text needs: for each sent word its class and logs; ``-1`` stands for the class of all other words."""
+
+    def __init__(self, top: list[tuple[bytes, int, int]], n_tokens: int, n_types: int, n_ends: int, in_class: np.ndarray) -> None:
+        self.n, self.sent, self.n_tokens = len(in_class), len(top), n_tokens
+        self.rest, self.end = self.n - 2, self.n - 1
+        self.number = {w: i for i, (w, *_) in enumerate(top)}
+        c = np.array([c for _, c, _ in top], float)
+        self.of_word = np.array([*(x for *_, x in top), -1], int)
         self.base_total = float(n_tokens + n_types + 1)
-        in_class = np.bincount(of[:k], c[:k], n_classes)
-        n_rest = n_tokens - float(c[:k].sum()) - float(table[:, end].sum())
-        self.rest_total = n_rest + max(0, n_types - k - (1 if n_tokens else 0)) + 1
-        # sent words, then one place for all others, whose emission and baseline come from the join
-        self.of_word = np.concatenate([of[:k], np.full(self.sent - k + 1, rest)])
-        self.emission = np.concatenate([np.log10(np.maximum(c[:k], 1) / np.maximum(in_class[of[:k]], 1)),
-                                        np.log10((c[k:] + 1) / self.rest_total), [0.0]])
+        self.emission = np.concatenate([np.log10(np.maximum(c, 1) / np.maximum(in_class[self.of_word[:-1]], 1)), [0.0]])
         self.base = np.concatenate([np.log10((c + 1) / self.base_total), [0.0]])
-        self.end_base = float(np.log10((table[:, end].sum() + 1) / self.base_total))
+        self.end_base = float(np.log10((n_ends + 1) / self.base_total))
 
-    def read(self, text: str) -> tuple[int, int, float, float, list[str], list[int]]:
-        """Tokens, known ones among the sent, their baseline and the model's part of the score; the other words and their times."""
+    def read(self, text: str) -> tuple:
+        """Tokens, known ones among the sent, their baseline and emissions; steps between classes and their times; steps of other words."""
         words = words_of(text)
         ids = np.array([self.number.get(w, self.sent) for w in words], int)
         classes = np.concatenate([[self.end], self.of_word[ids], [self.end]])
-        score = float(self.step[classes[:-1], classes[1:]].sum() + self.emission[ids].sum())
-        other = Counter([words[i] for i in np.flatnonzero(ids == self.sent)])
-        known = len(words) - other.total() + (1 if self.n_tokens else 0)
-        return (len(words) + 1, known, float(self.base[ids].sum()) + self.end_base, score,
-                [w.decode() for w in other], list(other.values()))
+        a, b = classes[:-1], classes[1:]
+        open_ = (a < 0) | (b < 0)
+        codes, times = np.unique((a * self.n + b)[~open_], return_counts=True)
+        at = np.flatnonzero(open_).tolist()
+        known = int((ids < self.sent).sum()) + (1 if self.n_tokens else 0)
+        return (len(words) + 1, known, float(self.base[ids].sum()) + self.end_base, float(self.emission[ids].sum()), codes, times,
+                [words[i - 1].decode() if a[i] < 0 else None for i in at], a[at], [words[i].decode() if b[i] < 0 else None for i in at], b[at])
+
+    def steps(self, table: np.ndarray, weight: float = 8.0) -> np.ndarray:
+        """Logs of all transitions from their counts; the rest has a fixed chance after every class."""
+        unseen = 1 / (self.base_total + 1)
+        share = table.sum(0) + 1.0
+        share[self.rest] = 0
+        share /= share.sum()
+        out = (1 - unseen) * (table + weight * share) / (table.sum(1, keepdims=True) + weight)
+        out[:, self.rest] = unseen
+        return np.log10(out)
+
+
+def _sum_steps(read: DataFrame, n: int) -> DataFrame:
+    """(code, times) over all rows, added up in the tasks."""
+
+    def run(it):
+        total = np.zeros(n * n, np.int64)
+        for batch in it:
+            np.add.at(total, np.asarray(batch["codes"].flatten()), np.asarray(batch["times"].flatten()))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["code", "times"])
+
+    return read.select("codes", "times").mapInArrow(run, "code int, times long")
+
+
+def _met(rows: DataFrame, side: str, unsent: DataFrame, rest: int) -> DataFrame:
+    """The class (and count) of the word on one side of each step, where it was not known."""
+    known = unsent.select(F.col("word").alias(f"{side}w"), F.col("class").alias("found"), F.col("c").alias("count"))
+    met = rows.where(F.col(f"{side}w").isNotNull()).join(known, f"{side}w", "left")
+    met = met.withColumn(f"{side}c", F.coalesce("found", F.lit(rest))).withColumn(f"{side}n", F.coalesce("count", F.lit(0)).cast("long"))
+    none = rows.where(F.col(f"{side}w").isNull()).withColumn(f"{side}n", F.lit(None).cast("long"))
+    return none.unionByName(met.drop("found", "count"))
 
 
 def score(docs: DataFrame, modulus: int = 7, remainder: int = 2, clustered: int = 1_024, classes: int = 48,
@@ -181,40 +272,71 @@ def score(docs: DataFrame, modulus: int = 7, remainder: int = 2, clustered: int
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     rows = texts(docs)
-    learning = rows.where(crc_remainder(F.col("doc_id"), modulus) != remainder)
+    held = crc_remainder(F.col("doc_id"), modulus) == remainder
+    learning = rows.where(~held)
     counts = cut_lineage(count_words(learning))
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    words = counts.where((F.col("word") != END) & (F.octet_length("word") <= 64))
-    top = [(r["word"].encode(), r["c"]) for r in words.orderBy(F.desc("c"), "word").limit(sent).collect()]
-    k = min(clustered, len(top))
-    steps = count_steps(learning, [w for w, _ in top[:k]])
-    model = ClassModel(top, totals["n"], totals["v"], steps, exchange(steps, min(classes, max(1, k))), k)
-    shared = spark.sparkContext.broadcast(model)  # bounded by ``sent`` and ``clustered``
+    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
+                        F.coalesce(F.sum(F.when(F.col("word") == END, F.col("c"))), F.lit(0)).alias("ends")).first()
+    short = F.octet_length("word") <= 64
+    core = counts.where((F.col("word") != END) & short).orderBy(F.desc("c"), "word").limit(min(clustered, sent)).collect()
+    words = [r["word"].encode() for r in core]
+    steps = count_steps(learning, words)
+    of = exchange(steps, min(classes, max(1, len(words))))
+    others = cut_lineage(classes_of(count_contexts(learning, words, of), steps, of))
+    top = [(w, r["c"], int(x)) for w, r, x in zip(words, core, of)]
+    top += [(r["word"].encode(), r["c"], r["class"]) for r in others.where(short).orderBy(F.desc("c"), "word").limit(sent - len(top)).collect()]
+    in_class = np.bincount(of[:len(core)], [r["c"] for r in core], int(of.max()) + 1)
+    for r in others.groupBy("class").agg(F.sum("c").alias("c")).collect():
+        in_class[r["class"]] += r["c"]
+    model = ClassModel(top, totals["n"], totals["v"], totals["ends"], in_class)
+    n, rest = model.n, model.rest
+    shared = spark.sparkContext.broadcast(model)  # bounded by ``sent``
 
     def run(it):
         model, uids = shared.value, RowIds()
-        schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-                            ("base", pa.float64()), ("part", pa.float64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))])
+        numbers, strings = pa.list_(pa.int32()), pa.list_(pa.string())
+        schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
+                            ("part", pa.float64()), ("codes", numbers), ("times", numbers), ("lw", strings), ("lc", numbers), ("rw", strings), ("rc", numbers)])
         for batch in it:
-            out = [(uid, doc_id, *model.read(t.as_py())) for uid, doc_id, t in
-                   zip(uids.take(batch.num_rows), batch["doc_id"].to_pylist(), batch["text"], strict=True)]
-            yield from batches(out, schema, 2_000)
+            texts_ = zip(uids.take(batch.num_rows), batch["doc_id"].to_pylist(), batch["text"], strict=True)
+            while out := [(uid, doc_id, *model.read(t.as_py())) for uid, doc_id, t in islice(texts_, 500)]:
+                yield from batches(out, schema, 500)
 
     read = cut_lineage(rows.mapInArrow(run, (
-        "uid long, doc_id long, n_tokens long, known long, base double, part double, words array<string>, times array<int>")))
+        "uid long, doc_id long, n_tokens long, known long, base double, part double, codes array<int>, times array<int>,"
+        " lw array<string>, lc array<int>, rw array<string>, rc array<int>")))
     least = top[-1][1] if len(top) == sent else 0
-    others = read.select("uid", F.explode(F.arrays_zip("words", "times")).alias("x")).select(
-        "uid", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
-    # only words that were not sent can match
-    unsent = counts.where((F.col("c") <= least) | (F.octet_length("word") > 64) if top else F.lit(True))
-    c = F.coalesce("c", F.lit(0))
-    found = others.join(unsent, "word", "left").groupBy("uid").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10((c + 1) / F.lit(model.base_total))).alias("more_base"),
-        F.sum(F.col("times") * F.log10((c + 1) / F.lit(model.rest_total))).alias("more_part"))
-    joined = read.select("uid", "doc_id", "n_tokens", "known", "base", "part").join(found, "uid", "left")
-    return joined.select(
-        "doc_id", (crc_remainder(F.col("doc_id"), modulus) == remainder).alias("held_out"), "n_tokens",
+    unsent = others.where((F.col("c") <= least) | ~short)  # only words that were not sent can match
+    open_ = read.select("uid", "doc_id", F.explode(F.arrays_zip("lw", "lc", "rw", "rc")).alias("x")).select("uid", "doc_id", "x.*")
+    met = _met(_met(open_, "l", unsent, rest), "r", unsent, rest)
+    met = cut_lineage(met.select("uid", "doc_id", (F.col("lc") * n + F.col("rc")).alias("code"), F.col("rn").alias("c")))
+    every = _sum_steps(read.where(~held), n).union(met.where(~held).select("code", F.lit(1).cast("long")))
+    table = np.zeros(n * n)
+    for r in every.groupBy("code").agg(F.sum("times").alias("times")).collect():
+        table[r["code"]] = r["times"]
+    logs = model.steps(table.reshape(n, n))
+    sent_logs = spark.sparkContext.broadcast(logs.ravel())
+
+    def walked(it):
+        logs = sent_logs.value
+        for batch in it:
+            lengths = np.asarray(batch["codes"].value_lengths())
+            each = logs[np.asarray(batch["codes"].flatten())] * np.asarray(batch["times"].flatten())
+            step = np.bincount(np.repeat(np.arange(len(lengths)), lengths), each, len(lengths))
+            columns = {c: batch[c] for c in ("uid", "doc_id", "n_tokens", "known", "base")}
+            yield pa.RecordBatch.from_pydict({**columns, "part": pa.array(np.asarray(batch["part"]) + step)})
+
+    joined = read.select("uid", "doc_id", "n_tokens", "known", "base", "part", "codes", "times").mapInArrow(
+        walked, "uid long, doc_id long, n_tokens long, known long, base double, part double")
+    of_code = spark.createDataFrame([(i, float(x), float(np.log10(max(in_class[i % n], 1)))) for i, x in enumerate(logs.ravel())],
+                                    "code int, step double, total double")  # one row per pair of classes
+    emission = F.when(F.col("c") > 0, F.log10("c") - F.col("total")).otherwise(0.0)
+    found = met.join(F.broadcast(of_code), "code").groupBy("uid").agg(
+        F.sum((F.coalesce("c", F.lit(0)) > 0).cast("long")).alias("more_known"),
+        F.sum(F.when(F.col("c").isNotNull(), F.log10((F.col("c") + 1) / F.lit(model.base_total))).otherwise(0.0)).alias("more_base"),
+        F.sum(F.col("step") + emission).alias("more_part"))
+    return joined.join(found, "uid", "left").select(
+        "doc_id", held.alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(totals["n"]).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
         (F.col("part") + F.coalesce("more_part", F.lit(0.0))).alias("score"))

@@ -92,6 +92,23 @@ def test_class_lm_baseline_and_proper_model(some_docs):
     assert sum(r["score"] for r in got if r["held_out"]) > sum(r["base_score"] for r in got if r["held_out"])
 
 
+def test_class_lm_gives_every_learning_word_a_class(docs_of):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(600):
+        nouns, verbs = rng.integers(0, 150, 6), rng.integers(0, 150, 6)
+        rows.append((i, " ".join(f"the noun{a} verb{b} well" for a, b in zip(nouns, verbs))))
+    held = [i for i in range(10_000, 11_000) if zlib.crc32(str(i).encode()) % 7 == 2][:40]
+    for i, k in zip(held[::2], range(20)):
+        rows += [(i, f"the noun{k} verb{k} well"), (held[held.index(i) + 1], f"the verb{k} noun{k} well")]
+    rows += [(None, "never seen " * 3), (20_000, "x" * 70 + " noun1"), (20_001, None)]
+    docs = docs_of(rows)
+    few, many = ({r["doc_id"]: r for r in class_lm.score(docs, clustered=60, classes=6, sent=sent).collect()} for sent in (80, 10_000))
+    assert all(few[held[2 * k]]["score"] > few[held[2 * k + 1]]["score"] + 1 for k in range(20))
+    assert few.keys() == many.keys() and all(tuple(few[i])[:5] == tuple(many[i])[:5] for i in few)
+    assert all(math.isclose(few[i][c], many[i][c], abs_tol=1e-6) for i in few for c in ("base_score", "score"))
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(2)
     steps = rng.poisson(1, (32, 32)) + 40 * (np.arange(32)[:, None] // 8 == (np.arange(32)[None, :] // 8 + 1) % 4)
