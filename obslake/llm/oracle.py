@@ -36,6 +36,37 @@ SELECT rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged"""
 
 
+def phrase_mining_sql(source: str = "documents") -> str:
+    """Rows of ``phrase_mining.mine`` with its defaults, over the rows of ``source`` (lang, text)."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM {source}),
+pieces AS (SELECT lang, row_number() OVER () AS pid, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+w1 AS (SELECT lang, pid, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM pieces),
+w3 AS (SELECT lang, x, x || ' ' || lead(x) OVER p AS x2, x || ' ' || lead(x) OVER p || ' ' || lead(x, 2) OVER p AS x3 FROM w1
+  WINDOW p AS (PARTITION BY pid ORDER BY i)),
+f AS (SELECT lang, x AS phrase, 1 AS size, CAST(count(*) AS HUGEINT) AS f FROM w3 GROUP BY ALL
+  UNION ALL SELECT lang, x2, 2, count(*) FROM w3 WHERE x2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, x3, 3, count(*) FROM w3 WHERE x3 IS NOT NULL GROUP BY ALL),
+total AS (SELECT lang, count(*) AS n FROM w1 GROUP BY lang),
+c AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2 AND f >= 10),
+cuts AS (SELECT lang, phrase, size, a, k, array_to_string(w[1:k], ' ') AS left_part, array_to_string(w[k + 1:size], ' ') AS right_part
+  FROM c, (VALUES (1), (2)) AS cut(k) WHERE k < size),
+scored AS (SELECT u.*, x.f AS l, y.f AS r, 1000000 * a * a // (x.f * y.f) AS score FROM cuts u
+  JOIN f x ON x.lang = u.lang AND x.phrase = left_part AND x.size = k
+  JOIN f y ON y.lang = u.lang AND y.phrase = right_part AND y.size = u.size - k
+  QUALIFY row_number() OVER (PARTITION BY u.lang, u.phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, part, max(a) AS longer FROM (
+  SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT s.* FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.part = s.phrase AND s.size = 2
+  WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN total USING (lang)
+WHERE rank <= 2000"""
+
+
 ORACLE: dict[str, str] = {
     "op3_quality_rules": f"SELECT * EXCLUDE (rid) FROM ({quality_rules_sql()})",
+    "op13_phrase_mining": phrase_mining_sql(),
 }
