@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from obslake.session import cut_lineage
@@ -214,7 +215,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    sizes = np.asarray(pa.compute.list_value_length(batch["embedding"]))
+    sizes = np.asarray(pc.list_value_length(batch["embedding"]))
     for size in np.unique(sizes).tolist():
         yield size, batch.filter(pa.array(sizes == size))
 
