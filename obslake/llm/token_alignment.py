@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,7 @@ from obslake.session import new_shared_path
 BLANK = "▁"  # stands for a blank in B's pieces
 LANE = 256  # words of a lane
 REMEMBERED = 200_000  # words whose tokens a worker keeps
+_UNSAFE = re.compile(r"\A\s| \s| \Z")  # some blank is not the only white space before a word
 DENSE = 4_096  # links of a group beyond which its ids are counted before they are paired
 
 
@@ -74,28 +76,56 @@ class Tokenizers:
                    for of, x in ((self.bytes_a, a), (self.bytes_b, b)))
         return a, b, same
 
-    def words(self, text: str) -> list[tuple[bytes, bytes, bool]]:
-        """Encodings of stretches that no token crosses, in text order; ``text`` is not empty."""
+    def _stretches(self, text: str) -> list[str]:
+        """Parts of ``text`` that no token crosses; a blank stands between them."""
         if not self.by_word:
-            return [self.encode(text)]
+            return [text]
         parts = text.split(" ")
-        out = list(map(self.known.get, parts))
-        if None not in out:
-            return out
-        if any(not p or p[0].isspace() for p in parts):
-            joined = [parts[0]]
-            for before, p in zip(parts, parts[1:]):
-                if p and before and not p[0].isspace():
-                    joined.append(p)
-                else:  # blanks can be one token of B, other white space one of A
-                    joined[-1] += " " + p
-            parts = joined
-            out = list(map(self.known.get, parts))
-        for i, known in enumerate(out):
-            if known is None:
-                out[i] = known = self.encode(parts[i])
-                if parts[i] and not parts[i][0].isspace() and " " not in parts[i] and len(parts[i]) <= 64 and len(self.known) < REMEMBERED:
-                    self.known[parts[i]] = known
+        if not _UNSAFE.search(text):
+            return parts
+        out = [parts[0]]
+        for before, p in zip(parts, parts[1:]):
+            if p and before and not p[0].isspace():
+                out.append(p)
+            else:  # blanks can be one token of B, other white space one of A
+                out[-1] += " " + p
+        return out
+
+    def _encode_all(self, parts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """Encodings of parts, many as one text where that gives the same."""
+        data = (" " + " ".join(parts)).encode()
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        found = []
+        for ids, size, of in ((self.a.whole(data.decode()), self.size_a, self.bytes_a),
+                              (np.array(self.b.encode(data[1:].decode()), "<u4").tobytes(), self.size_b, self.bytes_b)):
+            values = np.frombuffer(ids, "<u4")
+            reached = np.cumsum(size[values])
+            at = np.minimum(np.searchsorted(reached, ends), max(0, len(values) - 1))
+            if not len(values) or (reached[at] != ends).any() or b"".join(map(of.__getitem__, values.tolist())) != data:
+                return [self.encode(p) for p in parts]
+            bounds = (4 * (at + 1)).tolist()
+            found.append([ids[a:b] for a, b in zip([0, *bounds], bounds)])
+        return [(a, b, True) for a, b in zip(*found)]
+
+    def words(self, docs: list[str]) -> list[list[tuple[bytes, bytes, bool]]]:
+        """Of each text the encodings of stretches that no token crosses, in text order; an empty text has none."""
+        parts = [self._stretches(text) if text else [] for text in docs]
+        new = list(set().union(*parts).difference(self.known))
+        plain = [p for p in new if p and not p[0].isspace() and p[-1] != " " and BLANK not in p] if self.by_word else []
+        fresh = {p: self.encode(p) for p in set(new).difference(plain)}
+        start = size = 0
+        for i, p in enumerate(plain):
+            size += len(p)
+            if size > 1 << 16 or i + 1 == len(plain):
+                fresh |= zip(plain[start:i + 1], self._encode_all(plain[start:i + 1]))
+                start, size = i + 1, 0
+        self.known |= fresh
+        out = [list(map(self.known.__getitem__, of)) for of in parts]
+        kept = max(0, REMEMBERED - len(self.known) + len(fresh))
+        short = set([p for p in plain if len(p) <= 64][:kept])
+        for p in fresh:
+            if p not in short:
+                del self.known[p]
         return out
 
 
@@ -137,8 +167,7 @@ class Batch:
         ids_a, ids_b, lanes_a, lanes_b = [], [], [0], [0]
         first_a, first_b = [0], [0]
         n_a = n_b = 0
-        for text in docs:
-            words = enc.words(text) if text else []
+        for words in enc.words(docs):
             if all(w[2] for w in words):
                 for i in range(0, len(words), LANE):
                     part = words[i:i + LANE]
