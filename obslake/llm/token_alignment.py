@@ -39,7 +39,7 @@ from obslake.session import new_shared_path
 
 BLANK = "▁"  # stands for a blank in B's pieces
 LANE = 256  # words of a lane
-REMEMBERED = 200_000  # words whose tokens a worker keeps
+REMEMBERED = 150_000  # words whose tokens a worker keeps
 _UNSAFE = re.compile(r"\A\s| \s| \Z")  # some blank is not the only white space before a word
 DENSE = 4_096  # links of a group beyond which its ids are counted before they are paired
 
@@ -269,7 +269,7 @@ def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, characters: int = 1 << 21) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, characters: int = 1 << 20) -> DataFrame:
     """Per document: doc_id, a_ids and b_ids, cuts_a and cuts_b (tokens of A and B before the end of each group), links_a and
     links_b (places of tokens that overlap)."""
 
@@ -358,7 +358,7 @@ def link_counts(chunks: DataFrame) -> DataFrame:
         "pair", "n", (F.col("n") == F.col("highest")).alias("best"))
 
 
-def digest(docs: DataFrame, path_a: str, path_b: str, characters: int = 1 << 21, links: int = 1 << 21) -> DataFrame:
+def digest(docs: DataFrame, path_a: str, path_b: str, characters: int = 1 << 20, links: int = 1 << 21) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     spark = docs.sparkSession
     path = new_shared_path(spark, "alignment")
