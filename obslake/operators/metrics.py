@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -78,7 +79,7 @@ def _base_states() -> dict[str, Callable[[Column | None], Column]]:
         return lambda flag: F.sum(keep(F.col(c), flag))
 
     def filled(c: str):
-        return lambda flag: F.count(keep(F.col(c), flag))
+        return lambda flag: F.count(keep(ticks(c), flag))  # what is added up, and nothing else
 
     one = F.lit(1)
     return {
@@ -212,13 +213,23 @@ define("rank_temp", "Ranking Temp", _RANK, "0", "Dense rank of the station by me
 define("rank_etp", "Ranking ETP", _RANK, "0", "Dense rank of the station by evapotranspiration", [], None)
 define("hottest_station", "Estación con Más Calor", _RANK, "", "Station(s) with the highest mean temperature", [], None)
 
+Selection = ti.FilterContext | Mapping[str, Column | Sequence] | Column | None
+
 ROLES = ("cur", "ly", "nino", "normal")
-_ALIGNED = {"year", "quarter", "month", "month_name", "day_of_month", "date_local", "date_id"}
+_DAYS, _PARTS_OF_YEAR = {"date_local", "date_id"}, {"year", "quarter", "month", "month_name"}
+#: The column of the daily fact that a state puts its own condition on.
+_OWN_COLUMN = {"deficit": "water_balance_mm"}
+
+
+def _follow_each_other(date_keys: Sequence[str]) -> bool:
+    """Whether these contexts cut a year into stretches one after the other: days, or the year and parts of it."""
+    keys = set(date_keys)
+    return bool(keys & _DAYS) or ("year" in keys and keys <= _PARTS_OF_YEAR)
 
 
 def evaluate(
     daily: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), calendar: DataFrame | None = None,
-    dates: Column | None = None, entities: Column | None = None, blank_as_zero: bool = True,
+    dates: Selection = None, entities: Selection = None, blank_as_zero: bool = True,
     formatted: bool = False,
 ) -> DataFrame:
     """Measures per combination of ``by``, one row each.
@@ -226,57 +237,79 @@ def evaluate(
     Columns of ``by`` that the calendar has are its date contexts; the others are columns of ``daily``.
     ``dates`` selects days of the calendar, ``entities`` rows of ``daily``.  Measures of last year, of
     the year to date and of El Niño move along the calendar and keep the selection of entities.
+
+    A selection is a condition, or a mapping of columns to allowed values or conditions (a ``FilterContext``).
+    Measures that put a condition on a column themselves (El Niño and normal rain, days in severe deficit) replace the mapping's entry
+    of that column; a plain condition is opaque, so they add to it.  Combinations are those the selected days have.  A row
+    exists where the facts of the context itself, of last year or of the year to date do.
     """
     specs = [CATALOGUE[m] for m in metrics]
     bad = [s.key for s in specs if s.make is None or s.table != "fact_daily_summary"]
     if bad:
         raise ValueError(f"not measures of the daily fact: {bad}")
     needed = list(dict.fromkeys(n for s in specs for n in s.needs))
-    facts = daily if entities is None else daily.filter(entities)
     date_keys = [k for k in by if calendar is not None and k in calendar.columns]
     entity = [k for k in by if k not in date_keys]
-    states = _states(facts, needed, entity, date_keys, calendar, dates)
+    states = _states(daily, needed, entity, date_keys, calendar, ti.FilterContext.of(dates), ti.FilterContext.of(entities))
     context = Context(blank_as_zero)
     out = states.select(*by, *[s.make(context).alias(s.key) for s in specs])
     return with_display(out, specs) if formatted else out
 
 
-def _states(facts, needed, entity, date_keys, calendar, dates) -> DataFrame:
+def _states(daily, needed, entity, date_keys, calendar, dates, entities) -> DataFrame:
     def of(role: str) -> list[str]:
         return [n[len(role) + 1:] for n in needed if n.startswith(f"{role}_")]
 
-    base = _base_states()
+    # A state with a condition of its own on a column reads the rows with the selection on that column cleared.
+    cleared = {c for c in _OWN_COLUMN.values() if c in entities.entries and any(n.endswith(f"_{s}") for n in needed for s in _OWN_COLUMN)}
+    kept, narrow = entities, {c: entities.only(c) for c in cleared}
+    for c in cleared:
+        kept = kept.without(c)
+    facts = kept.apply(daily)
+    if narrow:  # rows that no state reads would make rows without any value
+        own = F.col("water_balance_mm") < SEVERE_DEFICIT_MM
+        facts = facts.filter(own | reduce(lambda a, b: a & b, narrow.values()))
+
+    def state(name: str, flag: Column | None = None) -> Column:
+        for c, condition in narrow.items():
+            if _OWN_COLUMN.get(name) != c:
+                flag = condition if flag is None else flag & condition
+        return _base_states()[name](flag)
+
     keys = [ti.context_key(k) for k in date_keys]
     if calendar is None:
         if any(of(r) for r in (*ROLES[1:], "ytd", "hist")):
             raise ValueError("measures that move along the calendar need one")
-        return facts.groupBy(*entity).agg(*[base[s](None).alias(f"cur_{s}") for s in of("cur")])
+        return facts.groupBy(*entity).agg(*[state(s).alias(f"cur_{s}") for s in of("cur")])
 
     known = ti.with_context_keys(calendar, date_keys)
-    selected = known if dates is None else known.filter(dates)
-    contiguous = dates is None and set(date_keys) <= _ALIGNED and {"year", "date_local", "date_id"} & set(date_keys)
-    hist_in_contexts = bool(of("hist")) and dates is None and bool(entity)
+    selected = dates.apply(known)
+    whole = dates.condition() is None
+    aligned = whole and _follow_each_other(date_keys)
+    hist_in_contexts = bool(of("hist")) and whole and bool(entity)
+
+    def nino(value: int) -> DataFrame:
+        return ti.override_days(selected, dates.without("is_el_nino").apply(known), keys, "is_el_nino", value)
 
     days = {"cur": lambda: ti.current_days(selected, keys),
             "ly": lambda: ti.days_last_year(selected, known, keys),
-            "nino": lambda: ti.override_days(selected, keys, "is_el_nino", 1),
-            "normal": lambda: ti.override_days(selected, keys, "is_el_nino", 0),
+            "nino": lambda: nino(1), "normal": lambda: nino(0),
             "hist": lambda: ti.current_days(selected.filter(F.col("is_el_nino") == 0), keys)}
     wanted = {r: of(r) for r in ROLES if of(r)}
-    if of("ytd"):
-        wanted["cur"] = list(dict.fromkeys(wanted.get("cur", []) + (of("ytd") if contiguous else ["n"])))
+    if of("ytd") and (aligned or not wanted):
+        wanted["cur"] = list(dict.fromkeys(wanted.get("cur", []) + (of("ytd") if aligned else ["n"])))
     if hist_in_contexts:
         wanted["hist"] = of("hist")
     roles = {r: days[r]() for r in wanted}
     table = ti.bridge(roles, keys)
     flags = {r: (None if list(wanted) == [r] else F.col(f"in_{r}")) for r in wanted}
     out = facts.join(F.broadcast(table), ti.DAY).groupBy(*entity, *keys).agg(*[
-        base[s](flags[r]).alias(f"{r}_{s}") for r in wanted for s in wanted[r]])
+        state(s, flags[r]).alias(f"{r}_{s}") for r in wanted for s in wanted[r]])
 
     if of("ytd"):
-        out = _add_year_to_date(out, facts, known, selected, entity, keys, of("ytd"), contiguous)
+        out = _add_year_to_date(out, facts, known, selected, entity, keys, of("ytd"), aligned, state)
     if of("hist"):
-        out = _add_history(out, facts, known, entity, of("hist"), hist_in_contexts)
+        out = _add_history(out, facts, known, entity, of("hist"), hist_in_contexts, state)
     return out.withColumnsRenamed(dict(zip(keys, date_keys)))
 
 
@@ -289,29 +322,25 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _add_year_to_date(out, facts, known, selected, entity, keys, states, contiguous) -> DataFrame:
+def _add_year_to_date(out, facts, known, selected, entity, keys, states, aligned, state) -> DataFrame:
     lasts = ti.last_days(selected, keys)
-    if not keys:
-        out = out.withColumn("_last", lasts.select("_last").scalar())
-    else:
-        out = _null_safe(out, F.broadcast(lasts), keys, "inner")
-    if contiguous:
-        in_year = Window.partitionBy(*entity, F.year("_last")).orderBy("_last")
-        return out.withColumns({f"ytd_{s}": F.sum(f"cur_{s}").over(in_year) for s in states}).drop("_last")
-    base = _base_states()
-    running = ti.year_to_date(facts, known, lasts, entity, {f"ytd_{s}": base[s](None) for s in states})
-    return _null_safe(out, running, [*entity, "_last"], "left").drop("_last")
-
-
-def _add_history(out, facts, known, entity, states, in_contexts) -> DataFrame:
+    if aligned:  # the contexts' own totals add up; the facts are not read again
+        return ti.running_within_year(out, lasts, entity, keys, {f"ytd_{s}": f"cur_{s}" for s in states})
+    running = ti.year_to_date(facts, known, lasts, entity, keys, {f"ytd_{s}": state(s) for s in states})
+    # one row per entity and context on either side, whichever of them exist; keys may be missing values
+    columns = [c for c in out.columns if c not in (*entity, *keys)]
+    both = out.unionByName(running, allowMissingColumns=True)
+    return both.groupBy(*entity, *keys).agg(*[F.max(c).alias(c) for c in (*columns, *(f"ytd_{s}" for s in states))])
+
+
+def _add_history(out, facts, known, entity, states, in_contexts, state) -> DataFrame:
     if in_contexts:
         # The contexts cover every day once, so their normal days add up to the whole history.
         whole = Window.partitionBy(*entity)
         return out.withColumns({f"hist_{s}": F.sum(f"hist_{s}").over(whole) for s in states})
-    base = _base_states()
     normal = known.filter(F.col("is_el_nino") == 0).select(ti.DAY).distinct()
     history = facts.join(F.broadcast(normal), ti.DAY, "left_semi").groupBy(*entity).agg(
-        *[base[s](None).alias(f"hist_{s}") for s in states])
+        *[state(s).alias(f"hist_{s}") for s in states])
     if entity:
         return _null_safe(out, history, entity, "left")
     return out.withColumns({f"hist_{s}": history.select(f"hist_{s}").scalar() for s in states})

@@ -282,6 +282,20 @@ def ytd_by_period_label(spark, d):
     return _rounded(evaluate(ad.daily(spark, d), ["precip_sum", "precip_ytd"], ["station_id", "season"], ad.calendar(spark, d)))
 
 
+@query
+def ytd_by_year_day_of_month(spark, d):
+    """Contexts that lie all over the year: the 5th of every month reaches to 5 December."""
+    return _rounded(evaluate(ad.daily(spark, d), ["precip_sum", "temp_ytd", "precip_ytd"], ["year", "day_of_month"], ad.calendar(spark, d)))
+
+
+@query
+def ytd_after_last_reading(spark, d):
+    """Every second station falls silent after April; its year to date stands until December."""
+    silent = F.substring("station_id", -1, 1).isin("1", "3", "5", "7", "9") & (F.month("date_local") > 4)
+    return _rounded(evaluate(
+        ad.daily(spark, d), ["precip_sum", "precip_ytd", "etp_ytd"], ["station_id", "year", "month"], ad.calendar(spark, d), entities=~silent))
+
+
 @query
 def enso_split(spark, d):
     return _rounded(evaluate(ad.daily(spark, d), ["precip_sum", "precip_nino", "precip_normal"], ["year"], ad.calendar(spark, d)))
@@ -294,6 +308,22 @@ def enso_split_override(spark, d):
         ad.daily(spark, d), ["precip_sum", "precip_nino", "precip_normal"], ["year", "is_el_nino"], ad.calendar(spark, d)))
 
 
+@query
+def enso_split_of_selection(spark, d):
+    """Only El Niño days are selected; the measures replace that condition and keep the one on the quarter."""
+    return _rounded(evaluate(
+        ad.daily(spark, d), ["precip_sum", "precip_nino", "precip_normal"], ["station_id", "year"], ad.calendar(spark, d),
+        dates={"is_el_nino": [1], "quarter": [1, 2, 3]}))
+
+
+@query
+def deficit_of_selection(spark, d):
+    """Only days that gained water are selected; severe deficit puts its own condition on the balance."""
+    return _rounded(evaluate(
+        ad.daily(spark, d), ["n_days", "precip_sum", "deficit_days", "deficit_days_share"], ["station_id", "year"], ad.calendar(spark, d),
+        entities={"water_balance_mm": F.col("water_balance_mm") > 0}))
+
+
 @query
 def enso_anomaly(spark, d):
     return _rounded(evaluate(ad.daily(spark, d), ["temp_avg", "temp_anomaly"], ["station_id", "year"], ad.calendar(spark, d)))

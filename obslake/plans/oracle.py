@@ -392,9 +392,10 @@ ORACLE["yoy_by_month"] = _yoy("year, month", "", _pick(*_YOY))
 ORACLE["yoy_by_station_year"] = _yoy("year", "station_id", _pick("temp_avg", "temp_avg_ly", "temp_delta_ly", "precip_ratio_ly"))
 ORACLE["rain_by_month"] = _yoy("year, month", "", _pick("precip_sum", "precip_sum_ly", "precip_ratio_ly"))
 
-ORACLE["ytd_by_station_month"] = _with(DLY) + f""",
-c AS (SELECT DISTINCT station_id, year(date_local) AS year, month(date_local) AS month FROM dly)
-SELECT c.station_id, {integer('c.year')} AS year, {integer('c.month')} AS month, {rnd(mean('temp_avg_c'))} AS temp_ytd,
+# every month from a station's first of the year on, with or without facts of its own
+ORACLE["ytd_by_station_month"] = _with(DLY, CAL) + f""",
+c AS (SELECT DISTINCT station_id, year, month FROM cal, (SELECT DISTINCT station_id FROM dly))
+SELECT c.station_id, c.year, c.month, {rnd(mean('temp_avg_c'))} AS temp_ytd,
   {rnd(total('precip_total_mm'))} AS precip_ytd, {rnd(total('etp_total_mm'))} AS etp_ytd
 FROM c JOIN dly ON c.station_id = dly.station_id AND year(date_local) = c.year AND month(date_local) <= c.month GROUP BY ALL"""
 
@@ -403,7 +404,22 @@ c AS (SELECT station_id, season, {total('precip_total_mm')} AS p FROM dly JOIN c
 e AS (SELECT season, max(date_local) AS last FROM cal GROUP BY 1),
 y AS (SELECT station_id, season, {total('precip_total_mm')} AS p FROM dly
       JOIN e ON year(date_local) = year(last) AND date_local <= last GROUP BY ALL)
-SELECT c.station_id, c.season, {rnd('c.p')} AS precip_sum, {rnd('y.p')} AS precip_ytd FROM c LEFT JOIN y USING (station_id, season)"""
+SELECT station_id, season, {rnd('c.p')} AS precip_sum, {rnd('y.p')} AS precip_ytd FROM c FULL JOIN y USING (station_id, season)"""
+
+ORACLE["ytd_by_year_day_of_month"] = _with(DLY, CAL) + f""",
+e AS (SELECT year, day_of_month, max(date_local) AS last FROM cal GROUP BY ALL),
+c AS (SELECT year, day_of_month, {total('precip_total_mm')} AS p FROM dly JOIN cal USING (date_local) GROUP BY ALL),
+y AS (SELECT e.year, day_of_month, {mean('temp_avg_c')} AS t, {total('precip_total_mm')} AS p FROM dly
+      JOIN e ON year(date_local) = e.year AND date_local <= last GROUP BY ALL)
+SELECT year, day_of_month, {rnd('c.p')} AS precip_sum, {rnd('t')} AS temp_ytd, {rnd('y.p')} AS precip_ytd
+FROM c FULL JOIN y USING (year, day_of_month)"""
+
+ORACLE["ytd_after_last_reading"] = _with(DLY, CAL) + f""",
+d AS (SELECT * FROM dly WHERE NOT (right(station_id, 1) IN ('1', '3', '5', '7', '9') AND month(date_local) > 4)),
+c AS (SELECT DISTINCT station_id, year, month FROM cal, (SELECT DISTINCT station_id FROM d))
+SELECT c.station_id, c.year, c.month, CAST(sum({dec('precip_total_mm')}) FILTER (WHERE month(date_local) = c.month) AS DOUBLE) AS precip_sum,
+  {rnd(total('precip_total_mm'))} AS precip_ytd, {rnd(total('etp_total_mm'))} AS etp_ytd
+FROM c JOIN d ON c.station_id = d.station_id AND year(date_local) = c.year AND month(date_local) <= c.month GROUP BY ALL"""
 
 _PART = "CAST(sum({x}) FILTER (WHERE is_el_nino = {v}) AS DOUBLE)"
 _NINO, _NORMAL = (_PART.format(x=dec("precip_total_mm"), v=v) for v in (1, 0))
@@ -417,6 +433,18 @@ SELECT c.year, c.is_el_nino, {rnd('p')} AS precip_sum, {rnd('nino')} AS precip_n
 FROM c JOIN y ON c.year = y.year"""
 
 
+ORACLE["enso_split_of_selection"] = _with(DLY, CAL) + f""",
+y AS (SELECT DISTINCT year FROM cal WHERE is_el_nino = 1 AND quarter <= 3)
+SELECT station_id, year, {rnd(_NINO)} AS precip_sum, {rnd(_NINO)} AS precip_nino, {rnd(_NORMAL)} AS precip_normal
+FROM dly JOIN cal USING (date_local) JOIN y USING (year) WHERE quarter <= 3 GROUP BY station_id, year"""
+ORACLE["deficit_of_selection"] = _with(DLY) + f"""
+SELECT station_id, {integer('year(date_local)')} AS year, NULLIF(count(*) FILTER (WHERE water_balance_mm > 0), 0) AS n_days,
+  CAST(sum({dec('precip_total_mm')}) FILTER (WHERE water_balance_mm > 0) AS DOUBLE) AS precip_sum,
+  NULLIF(count(*) FILTER (WHERE water_balance_mm < -7), 0) AS deficit_days,
+  {rnd('CAST(NULLIF(count(*) FILTER (WHERE water_balance_mm < -7), 0) AS DOUBLE) / NULLIF(count(*) FILTER (WHERE water_balance_mm > 0), 0)')} AS deficit_days_share
+FROM dly WHERE water_balance_mm > 0 OR water_balance_mm < -7 GROUP BY ALL"""
+
+
 def _anomaly(keys: str, where: str = "true") -> str:
     return _with(DLY, CAL) + f""",
 j AS (SELECT * FROM dly JOIN cal USING (date_local)),

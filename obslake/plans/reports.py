@@ -42,7 +42,7 @@ def month_heatmap(daily: DataFrame, measure: str, how: str = "mean", digits: int
     if how not in ("mean", "sum"):
         raise ValueError("how must be 'mean' or 'sum'")
     total = F.sum(ticks(measure))
-    cell = mean(total, F.count(measure)) if how == "mean" else amount(total)
+    cell = mean(total, F.count(ticks(measure))) if how == "mean" else amount(total)
     cells = daily.groupBy("station_id", F.month("date_local").alias("_m")).agg(dround(cell, digits).alias("_v"))
     months = list(range(1, 13))
     wide = cells.groupBy("station_id").pivot("_m", months).agg(F.max("_v"))

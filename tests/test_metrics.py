@@ -86,7 +86,7 @@ def brute(pdf, calendar, by, where=None):
             last = max(dates)
             ytd = g[(g.date_local <= last) & (g.date_local >= D(last.year, 1, 1))]
             nino, normal = (cur[cur.is_el_nino == v] for v in (1, 0))
-            if cur.empty and ly.empty:
+            if cur.empty and ly.empty and ytd.empty:
                 continue
             t, t_ly, h = mean(cur), mean(ly), mean(g[g.date_local.isin(normal_all)])
             sub = lambda a, b: None if a is None and b is None else (a or 0) - (b or 0)
@@ -119,6 +119,7 @@ MEASURES = ["temp_avg", "temp_max", "temp_min", "humidity_avg", "precip_sum", "e
 @pytest.mark.parametrize("by", [
     [], ["station_id"], ["year"], ["year", "month"], ["station_id", "year"], ["station_id", "year", "month"],
     ["station_id", "date_local"], ["season"], ["station_id", "season"], ["enso_period"], ["station_id", "day_of_week"],
+    ["year", "day_of_month"], ["station_id", "year", "season"], ["station_id", "year", "quarter", "month_name"],
 ])
 def test_every_measure_against_its_definition(daily, calendar, pandas_daily, by):
     want = brute(pandas_daily, calendar, by)
@@ -141,6 +142,71 @@ def test_measures_of_selected_days(daily, calendar, pandas_daily, by):
             assert got[key][m] == row[m] if isinstance(row[m], str) else close(got[key][m], row[m]), (key, m)
 
 
+def test_year_to_date_of_days_of_the_month(spark):
+    rows = [("a", D(2023, 1, 1) + dt.timedelta(days=i), 1.0) for i in range(365)]
+    daily = spark.createDataFrame(rows, "station_id string, date_local date, precip_total_mm double")
+    got = {r.day_of_month: r.precip_ytd for r in evaluate(daily, ["precip_ytd"], ["year", "day_of_month"], cal.dim_date(
+        spark, D(2023, 1, 1), D(2023, 12, 31))).collect()}
+    assert got == {d: float((D(2023, 12, d) - D(2022, 12, 31)).days) for d in range(1, 32)} and got[5] == 339.0
+
+
+def test_year_to_date_goes_on_after_the_last_reading(spark):
+    rows = [("a", D(2023, m, 3), 2.0) for m in (2, 3, 4)] + [("b", D(2023, 11, 1), 1.0), (None, D(2023, 12, 31), 5.0)]
+    daily = spark.createDataFrame(rows, "station_id string, date_local date, precip_total_mm double")
+    calendar = cal.dim_date(spark, D(2022, 1, 1), D(2024, 12, 31))
+    for by in (["station_id", "year", "month"], ["station_id", "month"]):  # one stretch after the other, and not
+        year = {"year": [2023]} if "year" not in by else None
+        rows = evaluate(daily, ["precip_sum", "precip_ytd", "n_days"], by, calendar, dates=year).collect()
+        got = {(r.station_id, r.month): (r.precip_sum, r.precip_ytd, r.n_days) for r in rows}
+        assert got == {("a", 2): (2.0, 2.0, 1), ("a", 3): (2.0, 4.0, 1), ("a", 4): (2.0, 6.0, 1),
+                       **{("a", m): (None, 6.0, None) for m in range(5, 13)}, ("b", 11): (1.0, 1.0, 1), ("b", 12): (None, 1.0, None),
+                       (None, 12): (5.0, 5.0, 1)}
+
+
+@pytest.mark.parametrize("by", [[], ["year"], ["station_id", "year"], ["is_el_nino", "month"]])
+def test_a_measure_replaces_the_selection_of_its_own_column(daily, calendar, pandas_daily, by):
+    for flag in (0, 1):
+        rows = evaluate(daily, ["precip_sum", "precip_nino", "precip_normal"], by, calendar, dates={"is_el_nino": [flag], "quarter": [1, 2, 3]}).collect()
+        part = pandas_daily[pandas_daily.quarter <= 3]
+        date_keys = [k for k in by if k != "station_id"]
+        chosen = calendar.toPandas().query(f"is_el_nino == {flag} and quarter <= 3")
+        assert rows and {tuple(r[k] for k in date_keys) for r in rows} <= {tuple(c[k] for k in date_keys) for c in chosen.to_dict("records")}
+        for r in rows:
+            own = part
+            for k in by:
+                own = own if k == "is_el_nino" else own[own[k] == r[k]]
+            sums = own.groupby("is_el_nino")["precip_total_mm"].sum()
+            assert close(r.precip_nino, sums.get(1)) and close(r.precip_normal, sums.get(0)) and close(r.precip_sum, sums.get(flag))
+        plain = evaluate(daily, ["precip_nino", "precip_normal"], [], calendar, dates=F.col("is_el_nino") == flag).first()
+        assert (plain.precip_normal is None) == (flag == 1)  # an opaque condition stays
+
+
+def test_deficit_days_replace_the_selection_of_the_balance(daily, pandas_daily):
+    wet = {"water_balance_mm": F.col("water_balance_mm") > 0, "station_id": ["a", "b"]}
+    got = {r.station_id: r for r in evaluate(daily, ["n_days", "deficit_days", "deficit_days_share", "precip_sum"], ["station_id"], entities=wet).collect()}
+    assert set(got) == {"a", "b"}
+    for s, r in got.items():
+        own = pandas_daily[pandas_daily.station_id == s]
+        some = own[own.water_balance_mm > 0]
+        deficit = int((own.water_balance_mm < -7).sum())
+        assert (r.n_days, r.deficit_days) == (len(some), deficit)
+        assert close(r.deficit_days_share, deficit / len(some)) and close(r.precip_sum, some.precip_total_mm.sum())
+
+
+def test_missing_values_can_be_selected(spark, calendar):
+    rows = [("a", D(2023, 5, 1), 1.0), (None, D(2023, 5, 2), 2.0), ("b", D(2023, 5, 3), 4.0)]
+    daily = spark.createDataFrame(rows, "station_id string, date_local date, precip_total_mm double")
+    total = lambda ids: evaluate(daily, ["precip_sum"], entities={"station_id": ids}).first().precip_sum
+    assert (total(["a"]), total([None]), total(["b", None]), total([])) == (1.0, 2.0, 6.0, None)
+
+
+def test_means_count_what_is_added_up(spark):
+    nan = float("nan")
+    daily = spark.createDataFrame([("a", D(2023, 5, d + 1), v) for d, v in enumerate((10.0, nan, None))], "station_id string, date_local date, temp_avg_c double")
+    assert evaluate(daily, ["temp_avg"]).first().temp_avg == 10.0
+    assert reports.month_heatmap(daily, "temp_avg_c").first().m05 == 10.0
+
+
 def test_selected_entities_keep_their_filter(daily, calendar):
     some = evaluate(daily, ["temp_avg", "temp_anomaly", "precip_ytd"], ["year"], calendar, entities=F.col("station_id") == "a")
     alone = evaluate(daily.filter("station_id = 'a'"), ["temp_avg", "temp_anomaly", "precip_ytd"], ["year"], calendar)

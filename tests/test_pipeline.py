@@ -9,6 +9,7 @@ import pytest
 
 import exports
 from obslake.plans import medallion
+from obslake.plans.catalogue import QUERIES
 from obslake.sources import tables
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."))
@@ -61,9 +62,9 @@ def duck(sf):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, sf, duck, name):
-    df = entry.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     left = df.toPandas()
     assert len(left) > 0
     sql = entry.oracle_sql().get(name)
@@ -79,9 +80,9 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_slow_operator(spark, sf, plan, name):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     if not name.startswith(("forecast_additive", "forecast_summary", "forecast_kpis", "history_and_forecast")):
