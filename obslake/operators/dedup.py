@@ -21,9 +21,10 @@ def keep_first(df: DataFrame, order: Sequence[str | Column], keys: Sequence[str]
 
 
 def latest_delivery(df: DataFrame, content: Sequence[str]) -> list[Column]:
-    """Tie-break of the typed layer: newest ingestion, then file name, then the content itself."""
+    """Tie-break of the typed layer: newest ingestion, then file name, its whole path if known, then the content itself."""
     escaped = [F.col(f"`{c}`") for c in content]
-    return [F.col("ingestion_ts").desc_nulls_last(), F.col("source_file").desc_nulls_last(), F.xxhash64(*escaped).asc()]
+    path = [F.col("source_path").desc_nulls_last()] if "source_path" in df.columns else []
+    return [F.col("ingestion_ts").desc_nulls_last(), F.col("source_file").desc_nulls_last(), *path, F.xxhash64(*escaped).asc()]
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from obslake.operators.gapfill import forward_fill
 from obslake.operators.metrics import evaluate, evaluate_forecast, hottest_station, rank_stations
 from obslake.operators.silver import flag_rows, profile, profile_totals, quality_flag, type_rows
 from obslake.plans import adapters as ad, reports
-from obslake.session import new_shared_path
+from obslake.session import cut_lineage, new_shared_path
 from obslake.sources import station_text as text, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,26 @@ def station_exports(spark, d):
         F.max("humidity_pct").alias("humidity_max"), F.min("wind_dir").alias("wind_dir_min"))
 
 
+@query
+def quarantine_counts(spark, d):
+    """Exports with bad lines among the rows: every line is a row, a header, a name, or set aside for a reason."""
+    path = new_shared_path(spark, "exports")
+    names = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(4))).alias("i")).select(
+        F.concat(F.lit("STN_0"), F.col("i").cast("string")).alias("station_id"), F.lit("Any name").alias("station_name"))
+    text.write_exports(_export_rows(spark, d), names, path)
+    n = F.col("event_id")
+    bad = ad.observations(spark, d).select("station_id", F.explode(F.filter(F.array(
+        F.when(n % 97 == 0, F.concat(F.lit("logger restarted "), n.cast("string"))),
+        F.when(n % 101 == 0, F.concat(F.lit("01/02/24\t00:30"), F.repeat(F.lit("\t1"), 37))),
+        F.when(n % 103 == 0, F.concat(F.lit("32/01/24\t00:30"), F.repeat(F.lit("\t1"), 36))),
+        F.when(n % 107 == 0, F.lit("01/02/24\t00:30\t1")),
+        F.when(n % 109 == 0, F.lit("battery low\tvolts\t3"))), lambda x: x.isNotNull())).alias("value"))
+    bad.write.mode("append").partitionBy("station_id").text(path)
+    lines = cut_lineage(text.with_partition_keys(text.read_lines(spark, path)).select(
+        "station_id", "source_path", "ingestion_ts", "Date", "line", "place", "year"))
+    return text.count_lines(lines)
+
+
 @query
 def silver_typed(spark, d):
     return type_rows(_export_rows(spark, d)).select("station_id", "observation_ts", "date_local_str", "time_local_str", *_MEASURED)

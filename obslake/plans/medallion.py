@@ -23,16 +23,17 @@ FACTS = ["dim_station", "dim_date", "fact_observations_30min", "fact_daily_summa
 def bronze_job(spark: SparkSession, raw: str, bronze: str, mode: str = "overwrite", stations=None) -> None:
     """Exports to Parquet, one folder per station, year and month.
 
-    The text is read once.  Rows whose instant does not parse stay in the layer, in the folders without a
-    year; ``quarantined`` lists them.
+    The text is read once.  Rows whose instant does not parse and lines that are no rows stay in the layer, in the
+    folders without a year; ``quarantined`` lists them.
     """
-    rows = tables.only(text.read_exports(spark, raw), "station_id", stations)
-    tables.write_partitioned(text.with_partition_keys(rows), bronze, mode=mode)
+    lines = tables.only(text.read_lines(spark, raw), "station_id", stations)
+    tables.write_partitioned(text.with_partition_keys(lines), bronze, mode=mode)
 
 
 def quarantined(spark: SparkSession, bronze: str) -> DataFrame:
-    """Ingested rows that have no valid instant, with the file they came from."""
-    return tables.read_layer(spark, bronze).filter(F.col("year").isNull())
+    """Ingested lines that are neither headers nor rows with a valid instant: cells or text, the file, and why (``kind``)."""
+    aside = tables.read_layer(spark, bronze, lines=True).filter(F.col("year").isNull())
+    return text.kinds_of_lines(aside).filter(~F.col("kind").isin("header", "name"))
 
 
 def silver_job(
@@ -110,7 +111,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.step == "bronze":
         chosen = None if args.stations == "all" else args.stations.split(",")
         bronze_job(spark, args.source, args.target, args.mode, chosen)
-        text.ingest_report(spark, tables.read_layer(spark, args.target), args.source, args.target).show(100, False)
+        written = tables.read_layer(spark, args.target)
+        text.ingest_report(spark, written, args.source, args.target).show(100, False)
+        text.count_lines(tables.read_layer(spark, args.target, lines=True)).orderBy("station_id", "kind").show(1000, False)
+        expected = star.dim_station(spark, schema.STATIONS)
+        text.missing_stations(written, tables.only(expected, "station_id", chosen)).show(100, False)
     elif args.step == "silver":
         silver_job(spark, args.source, args.target)
         profile(tables.read_layer(spark, args.target)).show(100, False)

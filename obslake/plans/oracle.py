@@ -234,6 +234,15 @@ SELECT station_id, CAST(event_ts AS DATE) AS date_local, count(*) AS n_rows, cou
   {total('temp_out_c')} AS temp_sum, max(humidity_pct) AS humidity_max, min(wind_dir) AS wind_dir_min
 FROM obs GROUP BY ALL"""
 
+_BAD = " UNION ALL ".join(
+    f"SELECT station_id, '{kind}' AS kind, count(*) AS n_lines FROM obs WHERE event_id % {n} = 0 GROUP BY station_id"
+    for n, kind in ((97, "no_row"), (101, "too_many_cells"), (103, "bad_instant"), (107, "row"), (109, "no_row")))
+ORACLE["quarantine_counts"] = _with(OBS) + f"""
+SELECT station_id, kind, {big('sum(n_lines)')} AS n_lines FROM (
+  SELECT station_id, 'row' AS kind, count(*) AS n_lines FROM obs GROUP BY station_id
+  UNION ALL SELECT DISTINCT station_id, 'header', 2 FROM obs UNION ALL SELECT DISTINCT station_id, 'name', 1 FROM obs
+  UNION ALL {_BAD}) GROUP BY ALL"""
+
 ORACLE["silver_typed"] = _with(OBS) + """
 SELECT station_id, date_trunc('minute', event_ts) AS observation_ts, strftime(event_ts, '%d/%m/%y') AS date_local_str,
   strftime(event_ts, '%H:%M') AS time_local_str, temp_out_c, humidity_pct, wind_speed_kmh, wind_gust_kmh, wind_dir,

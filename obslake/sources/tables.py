@@ -35,14 +35,19 @@ def partition_counts(df: DataFrame, entity: str = "station_id") -> DataFrame:
 
 def read_layer(
     spark: SparkSession, folder: str, start: dt.date | None = None, end: dt.date | None = None,
-    stations: Sequence[str] | None = None, ts: str = "observation_ts",
+    stations: Sequence[str] | None = None, ts: str = "observation_ts", lines: bool = False,
 ) -> DataFrame:
-    """Scan a partitioned layer; a time range also prunes the year and month folders."""
+    """Scan a partitioned layer; a time range also prunes the year and month folders.
+
+    Lines of the exports that are no rows, which the bronze layer keeps too, are given only with ``lines``.
+    """
     df = spark.read.parquet(folder)
     if df.schema["station_id"].dataType != T.StringType():
         # Folder names that look like numbers would lose leading zeros.
         text = [T.StructField(f.name, T.StringType()) if f.name == "station_id" else f for f in df.schema.fields]
         df = spark.read.schema(T.StructType(text)).parquet(folder)
+    if "line" in df.columns and not lines:
+        df = df.filter(F.col("line").isNull()).drop("line", "place")
     month_key = F.col("year") * 100 + F.col("month")
     if start is not None:
         df = df.filter((F.col("year") >= start.year) & (month_key >= start.year * 100 + start.month))

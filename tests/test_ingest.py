@@ -53,6 +53,52 @@ def test_quarantine_and_missing_stations(spark, raw):
     assert {r.station_id for r in missing.collect()} == {"STN_VI_03", "STN_PA_04"}
 
 
+def bad_lines(n=0):
+    """Junk of one field and of several, 39 cells, an impossible day, a short row."""
+    full = exports.row("01/01/23", "00:00", Temp_Out="20.0")
+    return ["logger restarted", "logger restarted", "battery\tlow", full + "\tone more", exports.row("32/01/23", "01:00"), "01/01/23\t02:00\t20.0"] + [full] * n
+
+
+def test_no_line_is_lost(spark, tmp_path):
+    raw, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    exports.write(raw, "STN_CN_01", bad_lines(2))
+    exports.write(raw, "STN_VC_02", [], name="Fecha del año")
+    with open(f"{raw}/STN_VI_03.txt", "w", encoding="utf-8") as f:  # a part of an export: no header, junk first
+        f.write("junk at the start\n\n" + exports.row("05/02/23", "12:00") + "\n")
+    medallion.bronze_job(spark, raw, bronze)
+    layer = tables.read_layer(spark, bronze, lines=True)
+    counts = {(r.station_id, r.kind): r.n_lines for r in text.count_lines(layer).collect()}
+    assert counts == {
+        ("STN_CN_01", "row"): 3, ("STN_CN_01", "header"): 2, ("STN_CN_01", "name"): 1, ("STN_CN_01", "no_row"): 3,
+        ("STN_CN_01", "too_many_cells"): 1, ("STN_CN_01", "bad_instant"): 1, ("STN_VC_02", "header"): 2, ("STN_VC_02", "name"): 1,
+        ("STN_VI_03", "no_row"): 1, ("STN_VI_03", "row"): 1}
+    bad = sorted((r.kind, r.line, r.source_file) for r in medallion.quarantined(spark, bronze).collect() if r.kind != "bad_instant")
+    assert bad == sorted([("no_row", "logger restarted", "STN_CN_01.txt")] * 2 + [("no_row", "battery\tlow", "STN_CN_01.txt"),
+                         ("too_many_cells", bad_lines()[3], "STN_CN_01.txt"), ("no_row", "junk at the start", "STN_VI_03.txt")])
+    assert tables.read_layer(spark, bronze).count() == 5 and text.read_exports(spark, raw).count() == 5
+
+
+def test_lines_of_a_stream(spark, tmp_path):
+    raw, bronze, progress = (str(tmp_path / n) for n in ("raw", "bronze", "progress"))
+    exports.write(raw, "STN_CN_01", bad_lines()[2:])
+    exports.write(raw, "STN_VC_02", bad_lines()[:1])
+    ingest_new_exports(spark, raw, bronze, progress).awaitTermination(120)
+    counts = {(r.station_id, r.kind): r.n_lines for r in text.count_lines(tables.read_layer(spark, bronze, lines=True)).collect()}
+    assert counts == {
+        ("STN_CN_01", "row"): 1, ("STN_CN_01", "header"): 2, ("STN_CN_01", "name"): 1, ("STN_CN_01", "no_row"): 1,
+        ("STN_CN_01", "too_many_cells"): 1, ("STN_CN_01", "bad_instant"): 1,
+        ("STN_VC_02", "header"): 2, ("STN_VC_02", "no_row"): 2}  # without places, neither of two can be told for the name
+
+
+def test_files_of_the_same_name_are_reported_apart(spark, tmp_path):
+    raw, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    for part, n in (("a", 6), ("b", 4)):
+        exports.write(f"{raw}/{part}", "STN_CN_01", [exports.row("01/01/23", f"0{i}:00") for i in range(n)])
+    medallion.bronze_job(spark, raw, bronze)
+    report = text.ingest_report(spark, tables.read_layer(spark, bronze), raw, bronze).collect()
+    assert sorted((r.source_file, r.n_rows) for r in report) == [("STN_CN_01.txt", 4), ("STN_CN_01.txt", 6), ("TOTAL", 10)]
+
+
 def test_typing(spark, raw):
     good, _ = text.split_quarantine(text.read_exports(spark, raw))
     rows = {r.observation_ts: r for r in type_rows(good).filter("station_id = 'STN_CN_01' and temp_out_c is not null").collect()}
