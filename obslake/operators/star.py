@@ -53,25 +53,24 @@ def _day_states() -> list[Column]:
     return states + [F.min(c).alias(f"min_{c}") for c in _LOWEST]
 
 
-def _prevailing_listed(points: Sequence[str]) -> Column:
-    """Most frequent of the listed directions, the first in alphabetical order on a tie.
+def _merged(state: str) -> Column:
+    """How the parts of a state add up, which its name tells."""
+    fold = {"max": F.max, "min": F.min, "nan": F.bool_or}.get(state.split("_")[0], F.sum)
+    return fold(state).alias(state)
 
-    Refuses the one case in which a direction outside the list could have won.
-    """
+
+def _prevailing(points: Sequence[str]) -> Column:
+    """Most frequent direction, the first in alphabetical order on a tie: the best of the listed ones, which have a count each,
+    against the best of all others."""
     names = sorted(points)
+    others = F.col("_other")
+    if not names:
+        return others["label"]
     counts = F.array(*[F.col(f"dir_{p}") for p in names])
     most = F.array_max(counts)
     winner = F.element_at(F.array(*[F.lit(p) for p in names]), F.array_position(counts, most).cast("int"))
-    refuse = F.raise_error(F.lit("wind directions outside the list are too frequent; pass directions=None"))
-    unlisted = F.col("n_unlisted")
-    return F.when((unlisted > 0) & (unlisted >= most), refuse.cast("string")).when(most > 0, winner)
-
-
-def _prevailing_any(obs: DataFrame) -> DataFrame:
-    """Most frequent direction of each day for any set of labels, folded before it is compared."""
-    counted = obs.filter(F.col("wind_dir").isNotNull()).groupBy(*_DAY, "wind_dir").agg(F.count("*").alias("n"))
-    order = F.struct(-F.col("n"), F.col("wind_dir"))
-    return counted.groupBy(*_DAY).agg(F.min_by("wind_dir", order).alias("wind_dominant_dir"))
+    listed = F.when(most > 0, F.struct((-most).alias("k"), winner.alias("label")))
+    return F.least(listed, others)["label"]
 
 
 def fact_daily_summary(
@@ -80,20 +79,18 @@ def fact_daily_summary(
 ) -> DataFrame:
     """One row per station and day with 29 columns.
 
-    All readings fold in one hash aggregate with map-side combine, so a station-day leaves each task as
-    one row of numbers.  The prevailing direction is a count per compass point in the same aggregate;
-    with ``directions=None`` any label is counted, in a second narrow aggregate.
+    All readings fold in one hash aggregate with map-side combine.  The prevailing direction is a count per listed compass
+    point in the same aggregate; any other label is a group of its own beside them, so that a station-day leaves each task as one
+    row of numbers, and one more for each label that is not listed (all of them with ``directions=None``).
+    A second aggregate over these few rows folds the groups of a day.
     """
-    states = _day_states()
-    if directions is not None:
-        states += [F.count_if(~F.col("wind_dir").isin(list(directions))).alias("n_unlisted")]
-        states += [F.count_if(F.col("wind_dir") == p).alias(f"dir_{p}") for p in directions]
-    day = obs.groupBy(*_DAY).agg(*states)
-    if directions is None:
-        day = day.join(_prevailing_any(obs), _DAY, "left")
-        prevailing = F.col("wind_dominant_dir")
-    else:
-        prevailing = _prevailing_listed(directions)
+    points = list(directions or ())
+    label = F.when(~F.col("wind_dir").isin(points), F.col("wind_dir")) if points else F.col("wind_dir")
+    states = [*_day_states(), *[F.count_if(F.col("wind_dir") == p).alias(f"dir_{p}") for p in points]]
+    parts = obs.groupBy(*_DAY, label.alias("_label")).agg(*states)
+    other = F.min(F.when(F.col("_label").isNotNull(), F.struct((-F.col("n")).alias("k"), F.col("_label").alias("label"))))
+    day = parts.groupBy(*_DAY).agg(*[_merged(c) for c in parts.columns if c not in (*_DAY, "_label")], other.alias("_other"))
+    prevailing = _prevailing(points)
 
     s, n, hi, lo = (lambda c, p=p: F.col(f"{p}_{c}") for p in ("sum", "cnt", "max", "min"))
 

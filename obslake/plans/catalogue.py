@@ -169,6 +169,14 @@ def fact_daily_summary(spark, d):
     return star.fact_daily_summary(star.fact_observations(_flagged(spark, d)))
 
 
+@query
+def daily_directions_any(spark, d):
+    """The prevailing direction where three in eight readings have a Spanish label, which the list of compass points lacks."""
+    spanish = F.when(F.col("wind_dir") == "W", "O").when(F.col("wind_dir") == "SW", "SO").when(F.col("wind_dir") == "NW", "NO")
+    obs = star.fact_observations(_flagged(spark, d)).withColumn("wind_dir", F.coalesce(spanish, "wind_dir"))
+    return star.fact_daily_summary(obs).select("station_id", "date_local", "wind_dominant_dir")
+
+
 @query
 def fact_monthly_summary(spark, d):
     return star.fact_monthly_summary(ad.daily(spark, d))
@@ -400,6 +408,11 @@ def heatmap_balance(spark, d):
     return reports.month_heatmap(ad.daily(spark, d), "water_balance_mm", how="sum")
 
 
+@query
+def heatmap_rain_by_year(spark, d):
+    return reports.month_heatmap(ad.daily(spark, d), "precip_total_mm", how="sum", by_year=True)
+
+
 @query
 def station_map(spark, d):
     return _rounded(reports.station_map(ad.daily(spark, d), ad.stations(spark, d)))
@@ -410,11 +423,35 @@ def daily_series(spark, d):
     return _rounded(reports.series(ad.daily(spark, d), ["temp_avg", "precip_sum"]))
 
 
+@query
+def monthly_series(spark, d):
+    return _rounded(reports.series(ad.daily(spark, d), ["temp_avg", "precip_sum", "etp_sum"], ("year", "month"), ad.calendar(spark, d)))
+
+
+@query
+def stations_of_facts(spark, d):
+    return ad.daily(spark, d).select("station_id").distinct().orderBy("station_id")
+
+
 @query
 def completeness(spark, d):
     return reports.completeness(ad.observations(spark, d))
 
 
+@query
+def completeness_by_ten_minutes(spark, d):
+    """144 slots a day, three words of a bitmap."""
+    obs = ad.observations(spark, d).withColumn("observation_ts", F.col("event_ts"))
+    return reports.completeness(obs, 144)
+
+
+@query
+def missing_ten_minutes(spark, d):
+    """Slots of ten minutes without any reading."""
+    obs = ad.observations(spark, d).withColumn("observation_ts", F.col("event_ts"))
+    return reports.missing_slots(obs, 10)
+
+
 @query
 def missing_slots(spark, d):
     return reports.missing_slots(ad.observations(spark, d))

@@ -294,6 +294,12 @@ SELECT 'STN_' || CAST(l_suppkey AS VARCHAR) FROM lineitem
 WHERE CAST(l_shipdate AS DATE) = (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem)"""
 ORACLE["fact_observations"] = _with(FACT_OBS) + "SELECT * FROM fact"
 ORACLE["fact_daily_summary"] = _with(OBS_DAY) + "SELECT * FROM obs_day"
+ORACLE["daily_directions_any"] = _with(UNIQUE) + """
+SELECT station_id, date_local, wind_dominant_dir FROM (
+  SELECT station_id, CAST(observation_ts AS DATE) AS date_local, d AS wind_dominant_dir,
+    row_number() OVER (PARTITION BY station_id, CAST(observation_ts AS DATE) ORDER BY count(*) DESC, d) AS rn
+  FROM (SELECT *, CASE wind_dir WHEN 'W' THEN 'O' WHEN 'SW' THEN 'SO' WHEN 'NW' THEN 'NO' ELSE wind_dir END AS d FROM uniq)
+  GROUP BY station_id, CAST(observation_ts AS DATE), d) WHERE rn = 1"""
 ORACLE["fact_monthly_summary"] = _with(DLY, MONTHLY) + "SELECT * FROM monthly"
 ORACLE["daily_view"] = _with(DLY, DIM, CAL) + """
 SELECT f.*, s.station_name, s.zone, s.latitude, s.longitude, s.altitude_m,
@@ -500,19 +506,36 @@ SELECT year, month, string_agg(station_name, '' ORDER BY station_name) AS hottes
 FROM r JOIN dim ON r.station_id = dim.station_id WHERE rk = 1 GROUP BY year, month"""
 
 
-def _heatmap(cell: str) -> str:
+def _heatmap(cell: str, year: str = "") -> str:
     cells = ", ".join(f"max(v) FILTER (WHERE m = {m}) AS m{m:02d}" for m in range(1, 13))
-    return _with(DLY) + f", c AS (SELECT station_id, month(date_local) AS m, {cell} AS v FROM dly GROUP BY ALL) SELECT station_id, {cells} FROM c GROUP BY station_id"
+    keys = "station_id, year" if year else "station_id"
+    return _with(DLY) + f""", c AS (SELECT station_id, {year} month(date_local) AS m, {cell} AS v FROM dly GROUP BY ALL)
+SELECT {keys}, {cells} FROM c GROUP BY {keys}"""
 
 
 ORACLE["heatmap_temperature"] = _heatmap(rnd(mean("temp_avg_c"), 4))
 ORACLE["heatmap_balance"] = _heatmap(rnd(total("water_balance_mm"), 4))
+ORACLE["heatmap_rain_by_year"] = _heatmap(rnd(total("precip_total_mm"), 4), f"{integer('year(date_local)')} AS year,")
 ORACLE["station_map"] = _with(DLY, DIM) + f"""
 SELECT d.station_id, d.station_name, d.latitude, d.longitude, {rnd(mean('temp_avg_c'))} AS temp_avg, {rnd(total('precip_total_mm'))} AS precip_sum
 FROM dim d JOIN dly f ON d.station_id = f.station_id GROUP BY d.station_id, d.station_name, d.latitude, d.longitude"""
 ORACLE["daily_series"] = _with(DLY) + f"""
 SELECT station_id, date_local, {rnd('temp_avg_c')} AS temp_avg, {rnd('precip_total_mm')} AS precip_sum FROM dly"""
 
+ORACLE["monthly_series"] = _with(DLY) + f"""
+SELECT station_id, {integer('year(date_local)')} AS year, {integer('month(date_local)')} AS month, {rnd(mean('temp_avg_c'))} AS temp_avg,
+  {rnd(total('precip_total_mm'))} AS precip_sum, {rnd(total('etp_total_mm'))} AS etp_sum FROM dly GROUP BY ALL"""
+ORACLE["stations_of_facts"] = "SELECT DISTINCT 'STN_' || CAST(l_suppkey AS VARCHAR) AS station_id FROM lineitem ORDER BY 1"
+_TEN = OBS + """, ten AS (SELECT station_id, time_bucket(INTERVAL 10 MINUTE, event_ts) AS observation_ts FROM obs),
+grid AS (SELECT station_id, observation_ts FROM (SELECT DISTINCT station_id FROM ten)
+         CROSS JOIN (SELECT unnest(generate_series(lo, hi, INTERVAL 10 MINUTE)) AS observation_ts
+                     FROM (SELECT min(observation_ts) AS lo, max(observation_ts) AS hi FROM ten)))"""
+ORACLE["completeness_by_ten_minutes"] = _with(_TEN) + f""",
+days AS (SELECT DISTINCT station_id, CAST(observation_ts AS DATE) AS date_local FROM grid),
+s AS (SELECT station_id, CAST(observation_ts AS DATE) AS date_local, count(DISTINCT observation_ts) AS n FROM ten GROUP BY ALL)
+SELECT station_id, date_local, coalesce(n, 0) AS n_observed, 144 AS n_expected, {rnd('coalesce(n, 0) / 144.0')} AS completeness
+FROM days LEFT JOIN s USING (station_id, date_local)"""
+ORACLE["missing_ten_minutes"] = _with(_TEN) + "SELECT station_id, observation_ts FROM grid EXCEPT SELECT station_id, observation_ts FROM ten"
 ORACLE["completeness"] = _with(OBS) + f""",
 s AS (SELECT station_id, CAST(observation_ts AS DATE) AS date_local, count(DISTINCT observation_ts) AS n FROM obs GROUP BY ALL),
 g AS (SELECT station_id, date_local FROM (SELECT DISTINCT station_id FROM s)
