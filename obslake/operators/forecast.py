@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from obslake.functions.clock import days_between
-from obslake.functions.exact import SCALE, dround, mean, ticks
+from obslake.functions.exact import SCALE, dround, mean, round_mean, ticks
 from obslake.schema import FORECAST_HORIZON, FORECAST_TARGETS
 
 MODEL_NAME = "additive trend + yearly seasonality"
@@ -138,10 +138,11 @@ def fact_forecast(daily: DataFrame, horizon: int = FORECAST_HORIZON, targets=FOR
 
 def summary(forecast: DataFrame) -> DataFrame:
     """Days, mean value, range of the value and widest band of each series."""
+    value = ticks("forecast_value")
     return forecast.groupBy(*SERIES).agg(
-        F.count("*").alias("n_days"), F.round(F.avg("forecast_value"), 2).alias("avg_forecast"),
-        F.round(F.min("forecast_value"), 2).alias("min_forecast"), F.round(F.max("forecast_value"), 2).alias("max_forecast"),
-        F.round(F.min("forecast_lower_80"), 2).alias("min_lower"), F.round(F.max("forecast_upper_80"), 2).alias("max_upper"),
+        F.count("*").alias("n_days"), round_mean(F.sum(value), F.count(value), 2).alias("avg_forecast"),
+        dround(F.min("forecast_value"), 2).alias("min_forecast"), dround(F.max("forecast_value"), 2).alias("max_forecast"),
+        dround(F.min("forecast_lower_80"), 2).alias("min_lower"), dround(F.max("forecast_upper_80"), 2).alias("max_upper"),
     ).orderBy(*SERIES)
 
 
@@ -181,6 +182,47 @@ def linear_trend(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int
         dround(F.col("_my") + F.col("slope") * ahead, digits - 2).alias("forecast_value"))
 
 
+TREND_NAME = "linear trend"
+
+
+def trend_forecast(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int = 4) -> DataFrame:
+    """The forecast fact from a least-squares line per series, with its closed-form 80 % prediction interval.
+
+    A series folds to seven sums before the shuffle, whatever its length; they are exact whole numbers, and so are their
+    differences, so the order of the rows changes nothing. The interval is that of one further value: residual variance (n - 2 degrees of
+    freedom) times one plus the uncertainty of level and slope, which grows with the distance from the middle of the history.
+    Days count once for each value they have. A series with one day gives no rows, one with two values no band.
+    """
+    origin = dt.date(1970, 1, 1)
+    x, y = F.datediff("ds", F.lit(origin)).cast("bigint"), ticks("y")
+    wide = lambda c: c.cast("decimal(19,0)")
+    sums = series.filter(y.isNotNull()).groupBy(*SERIES).agg(
+        F.max("ds").alias("_end"), F.count("*").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
+        F.sum(wide(x) * wide(y)).cast("decimal(19,0)").alias("sxy"), F.sum(wide(y) * wide(y)).alias("syy"))
+
+    def n_times(product: Column, a: str, b: str) -> Column:
+        # n squared times the (co)variance
+        return (wide(F.col("n")) * product.cast("decimal(19,0)") - wide(F.col(a)) * wide(F.col(b))).cast("double")
+
+    n = F.col("n").cast("double")
+    line = sums.select(
+        *SERIES, "_end", n.alias("_n"), (F.col("sx").cast("double") / n).alias("_mx"), (F.col("sy").cast("double") / n).alias("_my"),
+        n_times(F.col("sxx"), "sx", "sx").alias("_dxx"), n_times(F.col("sxy"), "sx", "sy").alias("_dxy"),
+        n_times(F.col("syy"), "sy", "sy").alias("_dyy")).filter(F.col("_dxx") > 0)
+    slope = F.col("_dxy") / F.col("_dxx")
+    noise = F.when(F.col("_n") > 2, F.greatest(F.lit(0.0), (F.col("_dyy") - F.col("_dxy") * slope) / F.col("_n")) / (F.col("_n") - 2))
+    fitted = line.withColumns({"_slope": slope, "_noise": noise})
+    ahead = F.datediff("forecast_date", F.lit(origin)).cast("double") - F.col("_mx")
+    far = 1.0 + 1.0 / F.col("_n") + ahead * ahead * F.col("_n") / F.col("_dxx")
+    value = F.col("_my") + F.col("_slope") * ahead
+    half = F.lit(Z80) * F.sqrt(F.col("_noise") * far)
+    unit = float(SCALE)
+    return _future(fitted, horizon).select(
+        "station_id", "forecast_date", "target", dround(value / unit, digits).alias("forecast_value"),
+        dround((value - half) / unit, digits).alias("forecast_lower_80"), dround((value + half) / unit, digits).alias("forecast_upper_80"),
+        F.lit(TREND_NAME).alias("model_name"))
+
+
 def seasonal_naive(series: DataFrame, horizon: int = FORECAST_HORIZON, digits: int = 4) -> DataFrame:
     """Mean of the same day of the year over the years before; NULL where no year has the day.
 

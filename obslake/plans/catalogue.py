@@ -464,6 +464,32 @@ def forecast_trend(spark, d):
     return fc.linear_trend(fc.history(ad.daily(spark, d)))
 
 
+def _trend(spark: SparkSession, d: str) -> DataFrame:
+    return fc.trend_forecast(fc.history(ad.daily(spark, d)))
+
+
+@query
+def forecast_trend_band(spark, d):
+    return _trend(spark, d)
+
+
+@query
+def forecast_trend_summary(spark, d):
+    return fc.summary(_trend(spark, d))
+
+
+@query
+def forecast_trend_kpis(spark, d):
+    metrics = ["forecast_temp", "forecast_etp", "forecast_temp_lower", "forecast_temp_upper"]
+    return _rounded(evaluate_forecast(_trend(spark, d), metrics, ["station_id"]))
+
+
+@query
+def history_and_trend(spark, d):
+    series = fc.history(ad.daily(spark, d))
+    return fc.recent_and_forecast(series, fc.trend_forecast(series))
+
+
 @query
 def forecast_seasonal_naive(spark, d):
     return fc.seasonal_naive(fc.history(ad.daily(spark, d)))

@@ -563,6 +563,42 @@ p AS (SELECT station_id, target, max(ds) AS last, CAST(count(*) AS DOUBLE) AS n,
 l AS (SELECT station_id, target, sx / n AS mx, sy / n AS my, (n * sxy - sx * sy) / NULLIF(n * sxx - sx * sx, 0) AS slope, {_FUTURE} FROM p)
 SELECT station_id, target, forecast_date, {rnd('slope')} AS slope,
   {rnd("my + slope * (CAST(forecast_date - DATE '1970-01-01' AS DOUBLE) - mx)", 4)} AS forecast_value FROM l"""
+_BAND = _SERIES + f""", p AS (
+  SELECT station_id, target, max(ds) AS last, count(*) AS n, CAST(sum(x) AS HUGEINT) AS sx, CAST(sum(y) AS HUGEINT) AS sy,
+    CAST(sum(x * x) AS HUGEINT) AS sxx, CAST(sum(x * y) AS HUGEINT) AS sxy, CAST(sum(y * y) AS HUGEINT) AS syy
+  FROM (SELECT station_id, target, ds, CAST(ds - DATE '1970-01-01' AS BIGINT) AS x, CAST(round(y * 10000) AS BIGINT) AS y FROM series)
+  GROUP BY station_id, target),
+l AS (SELECT station_id, target, last, CAST(n AS DOUBLE) AS n, CAST(sx AS DOUBLE) / n AS mx, CAST(sy AS DOUBLE) / n AS my,
+    CAST(n * sxx - sx * sx AS DOUBLE) AS dxx, CAST(n * sxy - sx * sy AS DOUBLE) AS dxy, CAST(n * syy - sy * sy AS DOUBLE) AS dyy FROM p),
+f AS (SELECT *, dxy / dxx AS slope, CASE WHEN n > 2 THEN greatest(0.0, (dyy - dxy * (dxy / dxx)) / n) / (n - 2) END AS noise, {_FUTURE}
+      FROM l WHERE dxx > 0),
+v AS (SELECT station_id, target, forecast_date, my + slope * ahead AS value,
+        1.2815515655446004::DOUBLE * sqrt(noise * (1.0::DOUBLE + 1.0::DOUBLE / n + ahead * ahead * n / dxx)) AS half
+      FROM (SELECT *, CAST(forecast_date - DATE '1970-01-01' AS DOUBLE) - mx AS ahead FROM f)),
+band AS (SELECT station_id, forecast_date, target, {rnd('value / 10000', 4)} AS forecast_value,
+  {rnd('(value - half) / 10000', 4)} AS forecast_lower_80, {rnd('(value + half) / 10000', 4)} AS forecast_upper_80,
+  'linear trend' AS model_name FROM v)"""
+ORACLE["forecast_trend_band"] = _with(DLY, _BAND) + "SELECT * FROM band"
+ORACLE["forecast_trend_summary"] = _with(DLY, _BAND) + f"""
+SELECT station_id, target, count(*) AS n_days, {rnd(mean('forecast_value'), 2)} AS avg_forecast, {rnd('min(forecast_value)', 2)} AS min_forecast,
+  {rnd('max(forecast_value)', 2)} AS max_forecast, {rnd('min(forecast_lower_80)', 2)} AS min_lower, {rnd('max(forecast_upper_80)', 2)} AS max_upper
+FROM band GROUP BY station_id, target"""
+
+
+def _of(target: str, column: str) -> str:
+    return f"CASE WHEN target = '{target}' THEN {column} END"
+
+
+ORACLE["forecast_trend_kpis"] = _with(DLY, _BAND) + f"""
+SELECT station_id, {rnd(mean(_of('temperatura_media', 'forecast_value')))} AS forecast_temp,
+  {rnd(total(_of('etp_diaria', 'forecast_value')))} AS forecast_etp,
+  {rnd(mean(_of('temperatura_media', 'forecast_lower_80')))} AS forecast_temp_lower,
+  {rnd(mean(_of('temperatura_media', 'forecast_upper_80')))} AS forecast_temp_upper FROM band GROUP BY station_id"""
+ORACLE["history_and_trend"] = _with(DLY, _BAND) + """
+SELECT s.station_id, s.target, ds AS day, y AS value, CAST(NULL AS DOUBLE) AS lower_80, CAST(NULL AS DOUBLE) AS upper_80, 'history' AS part
+FROM series s JOIN (SELECT station_id, target, max(ds) AS last FROM series GROUP BY 1, 2) e
+  ON s.station_id = e.station_id AND s.target = e.target WHERE ds > last - 90
+UNION ALL SELECT station_id, target, forecast_date, forecast_value, forecast_lower_80, forecast_upper_80, 'forecast' FROM band"""
 ORACLE["forecast_seasonal_naive"] = _with(DLY, _SERIES) + f""",
 f AS (SELECT station_id, target, {_FUTURE} FROM (SELECT station_id, target, max(ds) AS last FROM series GROUP BY 1, 2))
 SELECT f.station_id, f.target, f.forecast_date, {rnd(mean('s.y'), 4)} AS forecast_value, count(s.y) AS n_years

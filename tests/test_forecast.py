@@ -117,6 +117,30 @@ def test_yardsticks(spark):
     assert all(r.forecast_value is None and r.n_years == 0 for r in short)
 
 
+def test_trend_band_is_the_least_squares_interval(spark):
+    rng = np.random.default_rng(3)
+    n, horizon = 400, 60
+    y = np.round(18 + 0.01 * np.arange(n + horizon) + rng.standard_normal(n + horizon), 2)
+    rows = [("a", D0 + dt.timedelta(days=i), float(y[i]), float("nan")) for i in range(n)]
+    rows += [("one", D0, 5.0, 1.0), ("two", D0, 5.0, None), ("two", D0 + dt.timedelta(days=3), 8.0, None)]
+    long = fc.history(spark.createDataFrame(rows, "station_id string, date_local date, temp_avg_c double, etp_total_mm double"))
+    got = fc.trend_forecast(long, horizon)
+    assert got.columns == ["station_id", "forecast_date", "target", "forecast_value", "forecast_lower_80", "forecast_upper_80", "model_name"]
+    got = got.orderBy("station_id", "forecast_date").collect()
+    assert {r.station_id for r in got} == {"a", "two"}
+    assert [(r.forecast_value, r.forecast_lower_80) for r in got if r.station_id == "two"][:2] == [(9.0, None), (10.0, None)]
+    x = np.arange(n, dtype=float)
+    slope, level = np.polyfit(x, y[:n], 1)
+    noise = ((y[:n] - level - slope * x) ** 2).sum() / (n - 2)
+    at = np.arange(n, n + horizon)
+    half = fc.Z80 * np.sqrt(noise * (1 + 1 / n + (at - x.mean()) ** 2 / ((x - x.mean()) ** 2).sum()))
+    mine = np.array([(r.forecast_value, r.forecast_lower_80, r.forecast_upper_80) for r in got if r.station_id == "a"])
+    assert np.allclose(mine, np.stack([level + slope * at, level + slope * at - half, level + slope * at + half], 1), atol=1e-4)
+    assert 0.65 < ((y[n:] >= mine[:, 1]) & (y[n:] <= mine[:, 2])).mean() < 0.95
+    days = fc.trend_forecast(long.union(long), horizon).where("station_id = 'a'").orderBy("forecast_date").collect()
+    assert days[0].forecast_value == pytest.approx(mine[0, 0]) and days[0].forecast_upper_80 < got[0].forecast_upper_80
+
+
 def test_series_with_infinity_fails_alone():
     import pyarrow as pa
     from obslake.operators.forecast import _fit_series
