@@ -38,25 +38,29 @@ def dew_point_c(temp_c: C, rh_pct: C) -> Column:
 
 
 def heat_index_c(temp_c: C, rh_pct: C) -> Column:
-    """US weather service heat index: Steadman's simple form, Rothfusz' regression when it is hot."""
+    """US weather service heat index: Steadman's simple form, Rothfusz' regression when it is hot.
+
+    Constants and conditions as published: "The Heat Index Equation", US National Weather Service, after L. P. Rothfusz,
+    technical attachment SR 90-23 (1990). Below 80 °F it is the temperature.
+    """
     f = col(temp_c) * 1.8 + 32.0
     rh = col(rh_pct).cast("double")
-    simple = 0.5 * (f * 2.2 - 20.6 + rh * 0.094)
+    simple = 0.5 * (f + 61.0 + (f - 68.0) * 1.2 + rh * 0.094)
 
     def in_rh(c0: float, c1: float, c2: float) -> Column:
         return (rh * c2 + c1) * rh + c0
 
-    # The nine terms, gathered by powers of the temperature.
+    # The nine terms, gathered by powers of the temperature: written one by one, the method outgrows what the JVM compiles.
     regression = (
         (in_rh(-0.00683783, 0.00122874, -0.00000199) * f + in_rh(2.04901523, -0.22475541, 0.00085282)) * f
         + in_rh(-42.379, 10.14333127, -0.05481717)
     )
-    dry = (rh - 13.0) / 4.0 * F.sqrt(F.greatest(F.lit(0.0), (17.0 - F.abs(f - 95.0)) / 17.0))
+    dry = (13.0 - rh) / 4.0 * F.sqrt(F.greatest(F.lit(0.0), (17.0 - F.abs(f - 95.0)) / 17.0))
     humid = (rh - 85.0) / 10.0 * ((87.0 - f) / 5.0)
     adjustment = (
-        F.when((rh < 13) & (f <= 112), dry).when((rh > 85) & (f <= 87), humid).otherwise(0.0)
+        F.when((rh < 13) & (f <= 112), -dry).when((rh > 85) & (f <= 87), humid).otherwise(0.0)
     )
-    hot = F.when(simple + f >= 160, regression + adjustment).otherwise(simple)
+    hot = F.when((simple + f) / 2.0 >= 80, regression + adjustment).otherwise(simple)
     return F.when(f < 80, col(temp_c).cast("double")).otherwise((hot - 32.0) / 1.8)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obslake import schema
@@ -30,6 +32,30 @@ def bronze_job(spark: SparkSession, raw: str, bronze: str, mode: str = "overwrit
     tables.write_partitioned(text.with_partition_keys(lines), bronze, mode=mode)
 
 
+def bronze_increment(spark: SparkSession, raw: str, bronze: str, manifest: str, stations=None) -> DataFrame:
+    """Append the exports that are new or changed since the last increment; returns their manifest rows.
+
+    ``manifest`` is a table of the files taken, by path, size and time, written after the rows: a run that is lost in between
+    is repeated, and the typed layer removes what came twice. Only the new files are opened; their paths, which the scan needs to
+    plan its splits, are all that passes through the driver.
+    """
+    now = text.deliveries(spark, raw)
+    schema_text = "source_path string, bytes long, modified timestamp"
+    try:
+        taken = spark.read.schema(schema_text).parquet(manifest)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        taken = spark.createDataFrame([], schema_text)
+    new = cut_lineage(text.new_deliveries(now, taken))
+    paths = [r.source_path for r in new.select("source_path").toLocalIterator()]
+    if paths:
+        lines = tables.only(text.read_lines(spark, [unquote(p) for p in paths]), "station_id", stations)
+        tables.write_partitioned(text.with_partition_keys(lines), bronze, mode="append")
+        new.coalesce(1).write.mode("append").parquet(manifest)
+    return new
+
+
 def quarantined(spark: SparkSession, bronze: str) -> DataFrame:
     """Ingested lines that are neither headers nor rows with a valid instant: cells or text, the file, and why (``kind``)."""
     aside = tables.read_layer(spark, bronze, lines=True).filter(F.col("year").isNull())
@@ -101,6 +127,7 @@ def main(argv: list[str] | None = None) -> None:
         step.add_argument("--out", dest="target", default=target)
         if name == "bronze":
             step.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
+            step.add_argument("--manifest", help="append only exports that this table does not list yet")
             step.add_argument("--stations", default="all")
     step = steps.add_parser("forecast")
     step.add_argument("--gold", default="data/gold")
@@ -110,7 +137,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if args.step == "bronze":
         chosen = None if args.stations == "all" else args.stations.split(",")
-        bronze_job(spark, args.source, args.target, args.mode, chosen)
+        if args.manifest:
+            bronze_increment(spark, args.source, args.target, args.manifest, chosen)
+        else:
+            bronze_job(spark, args.source, args.target, args.mode, chosen)
         written = tables.read_layer(spark, args.target)
         text.ingest_report(spark, written, args.source, args.target).show(100, False)
         text.count_lines(tables.read_layer(spark, args.target, lines=True)).orderBy("station_id", "kind").show(1000, False)

@@ -32,7 +32,9 @@ def build_session(app: str = "obslake", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)  # the jobs fit forecasts in Python workers, which need not have the package
+    return spark
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -92,9 +92,10 @@ def _lines_of(scan: DataFrame, place: Column) -> DataFrame:
         "line": F.when(~kept, text), "place": F.when(~kept, F.col("place"))}).drop("_header", "_kept")
 
 
-def read_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """All lines of all exports under ``folder``, in one scan: the columns of ``read_exports``, ``line``, ``place`` and ``source_path``."""
-    return _lines_of(_with_lineage(_parse_options(spark.read).csv(folder)), F.monotonically_increasing_id())
+def read_lines(spark: SparkSession, source: str | list[str]) -> DataFrame:
+    """All lines of all exports under a folder, or of the listed files, in one scan: the columns of ``read_exports``, ``line``,
+    ``place`` and ``source_path``."""
+    return _lines_of(_with_lineage(_parse_options(spark.read).csv(source)), F.monotonically_increasing_id())
 
 
 def read_exports(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,6 +165,21 @@ def file_sizes(spark: SparkSession, folder: str, glob: str) -> DataFrame:
                         F.col("_metadata.file_path").alias("source_path"), F.col("length").alias("bytes"))
 
 
+def deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """The exports under ``folder`` as they are now: ``source_path``, ``bytes`` and ``modified``; their content is not read."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.txt").load(folder)
+    )
+    return files.select(F.col("_metadata.file_path").alias("source_path"), F.col("length").alias("bytes"),
+                        F.col("modificationTime").cast("timestamp").alias("modified"))
+
+
+def new_deliveries(now: DataFrame, taken: DataFrame) -> DataFrame:
+    """Deliveries that have not been taken: new files, and files whose size or time has changed since."""
+    return now.join(taken, ["source_path", "bytes", "modified"], "left_anti")
+
+
 def ingest_report(spark: SparkSession, exports: DataFrame, raw_folder: str, table_folder: str) -> DataFrame:
     """Rows per export, and on the last line the totals with the compression reached.
 

@@ -1,6 +1,8 @@
 import datetime as dt
 import glob
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +101,39 @@ def test_files_of_the_same_name_are_reported_apart(spark, tmp_path):
     assert sorted((r.source_file, r.n_rows) for r in report) == [("STN_CN_01.txt", 4), ("STN_CN_01.txt", 6), ("TOTAL", 10)]
 
 
+def test_increments_take_new_and_changed_files_once(spark, tmp_path):
+    raw, bronze, manifest = (str(tmp_path / n) for n in ("raw files", "bronze", "manifest"))
+    row = lambda i: exports.row("01/01/23", f"{i:02d}:00", Temp_Out="20.0")
+    exports.write(f"{raw}/a", "STN_CN_01", [row(0), row(1)])
+    exports.write(f"{raw}/b", "STN_CN_01", [row(2)])
+    assert medallion.bronze_increment(spark, raw, bronze, manifest).count() == 2
+    assert medallion.bronze_increment(spark, raw, bronze, manifest).count() == 0
+    assert tables.read_layer(spark, bronze).count() == 3
+    exports.write(f"{raw}/b", "STN_CN_01", [row(2), row(3)])  # grown
+    exports.write(f"{raw}/c", "STN_VC_02", [row(4)])
+    taken = medallion.bronze_increment(spark, raw, bronze, manifest)
+    assert {r.source_path.rsplit("/", 2)[1] for r in taken.collect()} == {"b", "c"}
+    layer = tables.read_layer(spark, bronze)
+    assert layer.count() == 6 and silver(layer).count() == 5  # the row delivered twice stays once
+    assert spark.read.parquet(manifest).count() == 4
+
+
+def test_jobs_need_no_installed_package(tmp_path):
+    """Workers started in an empty folder get the package from the session."""
+    root = os.path.abspath(os.path.join(os.path.dirname(__file__), ".."))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from obslake.session import build_session
+spark = build_session('ship', 'local[1]', **{{'spark.sql.shuffle.partitions': '1'}})
+from obslake.operators import forecast as fc
+rows = spark.sql("SELECT 'a' AS station_id, date_add(DATE '2023-01-01', CAST(id AS INT)) AS date_local, id * 1.0D AS temp_avg_c, 2.0D AS etp_total_mm FROM range(50)")
+print('forecasts', fc.fact_forecast(rows, 3).count())
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+                         capture_output=True, text=True, timeout=240)
+    assert "forecasts 6" in out.stdout, out.stderr[-2000:]
+
+
 def test_typing(spark, raw):
     good, _ = text.split_quarantine(text.read_exports(spark, raw))
     rows = {r.observation_ts: r for r in type_rows(good).filter("station_id = 'STN_CN_01' and temp_out_c is not null").collect()}
