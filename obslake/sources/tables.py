@@ -8,22 +8,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 STATION_MONTH = ("station_id", "year", "month")
+#: Station-months that may be broadcast: some 10 MB.
+MOST_MONTHS = 100_000
 
 
 def write_partitioned(
-    df: DataFrame, folder: str, keys: Sequence[str] = STATION_MONTH, mode: str = "overwrite",
+    df: DataFrame, folder: str, keys: Sequence[str] = STATION_MONTH, mode: str = "overwrite", whole: bool = False,
 ) -> None:
     """Write Parquet (Snappy) with one folder per key.
 
     The rebalance hint brings the rows of a key together so that files are few, and lets adaptive
     execution cut a key that holds far too many rows into several tasks.  ``overwrite`` replaces only
-    the folders the rows belong to, which makes a full re-run idempotent; a delivery with part of a
-    month is to be appended (the typed layer removes duplicates).
+    the folders the rows belong to, which makes a full re-run idempotent, or with ``whole`` all of them; a delivery with
+    part of a month is to be appended (the typed layer removes duplicates).
     """
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
     (
-        df.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy").partitionBy(*keys).parquet(folder)
     )
 
@@ -60,6 +62,37 @@ def read_layer(
     return only(df, "station_id", stations)
 
 
+def months_of(df: DataFrame) -> DataFrame:
+    """The station-months that the rows belong to."""
+    return df.filter(F.col("year").isNotNull()).select(*STATION_MONTH).distinct()
+
+
+def read_months(spark: SparkSession, folder: str, months: DataFrame | None) -> DataFrame:
+    """The rows of some station-months of a partitioned layer (``None``: of all); folders of others are not opened.
+
+    The months are a table, joined on the folder names. Up to ``MOST_MONTHS`` of them are broadcast, after which Spark opens their
+    folders only; beyond that the rows of all folders are compared.
+    """
+    df = read_layer(spark, folder)
+    if months is None:
+        return df
+    wanted = months.filter(F.col("year") > 0)  # Spark prunes by a side that has a condition
+    if months.limit(MOST_MONTHS + 1).count() <= MOST_MONTHS:
+        wanted = F.broadcast(wanted)
+    return df.join(wanted, list(STATION_MONTH), "left_semi")
+
+
+def write_fact(df: DataFrame, folder: str, name: str, part: bool = False) -> DataFrame:
+    """Write a fact by station, year and month of ``date_local``, all of it or the months that ``df`` holds (``part``); read it back.
+
+    The fact read back has the columns of ``df``; the folders also know ``year`` and ``month``.
+    """
+    path = f"{folder.rstrip('/')}/{name}"
+    keyed = df if "year" in df.columns else df.withColumns({"year": F.year("date_local"), "month": F.month("date_local")})
+    write_partitioned(keyed, path, whole=not part)
+    return read_layer(df.sparkSession, path).select(*df.columns)
+
+
 def only(df: DataFrame, key: str, ids: Sequence[str] | None) -> DataFrame:
     """Keep the listed entities; ``None`` keeps all."""
     return df if ids is None else df.filter(F.col(key).isin(list(ids)))

@@ -118,6 +118,37 @@ def test_increments_take_new_and_changed_files_once(spark, tmp_path):
     assert spark.read.parquet(manifest).count() == 4
 
 
+def files_of(folder):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True) if "/station_id=" in f}
+
+
+def test_an_increment_leaves_other_months_alone(spark, tmp_path, plan):
+    raw, bronze, silver_dir, gold, manifest = (str(tmp_path / n) for n in ("raw", "bronze", "silver", "gold", "manifest"))
+    for station in ("STN_CN_01", "STN_PA_04"):
+        exports.write(f"{raw}/1", station, exports.days(70))
+    run = lambda: medallion.increment_job(spark, raw, bronze, silver_dir, gold, manifest)
+    assert run().count() == 6 and run().count() == 0
+    before = {layer: files_of(layer) for layer in (silver_dir, gold)}
+    exports.write(f"{raw}/2", "STN_PA_04", exports.days(1, start="2023-03-20", Temp_Out=lambda d, i: 30.0))
+    assert [tuple(r) for r in run().collect()] == [("STN_PA_04", 2023, 3)]
+    for layer, old in before.items():
+        now = files_of(layer)
+        touched = {f for f in old if "station_id=STN_PA_04/year=2023/month=3/" in f}
+        assert touched and {f for f in old if now.get(f) == old[f]} == set(old) - touched
+    parts = medallion.open_gold(spark, gold)
+    # the same as all built at once
+    whole = str(tmp_path / "whole")
+    medallion.silver_job(spark, bronze, f"{whole}/silver")
+    built = medallion.gold_job(spark, f"{whole}/silver", f"{whole}/gold")
+    for name in medallion.BY_MONTH:
+        columns = sorted(built[name].columns)
+        assert sorted(parts[name].columns) == columns
+        assert sorted(map(str, parts[name].select(columns).collect())) == sorted(map(str, built[name].select(columns).collect()))
+    months = spark.createDataFrame([("STN_PA_04", 2023, 3)], "station_id string, year int, month int")
+    scan = plan(tables.read_months(spark, silver_dir, months))
+    assert "dynami" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]  # cut short in the plan's text
+
+
 def test_jobs_need_no_installed_package(tmp_path):
     """Workers started in an empty folder get the package from the session."""
     root = os.path.abspath(os.path.join(os.path.dirname(__file__), ".."))
