@@ -13,7 +13,8 @@ what stands out of a counter's chance load makes a token frequent. The order is
 Equal texts are one class from the start (the hash of their word sequence), so copies meet only once. Classes with thousands
 of similar texts would still give a square of pairs. Components need fewer: in each star round every class is
 verified against a few hubs it shares most prefix tokens with, and linked classes become one component. The last round
-verifies every candidate pair of classes that still lie in different components, so no link between components is missed.
+verifies every candidate pair of classes that still lie in different components, so no link between components is missed. The links
+themselves, all of them, come from ``similar_classes``, which has no star round.
 
 Hash collisions: 64 bits for sequences and shingles, 48 bits for the shingles of one compared pair.
 
@@ -39,6 +40,7 @@ _BLOCK = 1 << 12
 _BITS = 1 << 24
 _SIGNED = 8  # longs of a set's signature
 _SEEN = 100_000  # classes whose copies a task leaves out at once
+_EARLY = 4  # tokens of a prefix by which a pair knows where it meets first
 
 
 def _words(text: str) -> list[bytes]:
@@ -291,24 +293,35 @@ def _star_pairs(postings: DataFrame, round_: int, hubs: int, percent: int) -> Da
     return best.select("a", "b").distinct()
 
 
+def _with_early(postings: DataFrame) -> DataFrame:
+    """Postings with the first few tokens, by place, that their class still has under the same order: e0, e1 ..."""
+    order = F.col("token").bitwiseAND(F.lit(3))
+    own = Window.partitionBy("class", order).orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return postings.withColumns({f"e{i}": F.nth_value("token", i + 1).over(own) for i in range(_EARLY)})
+
+
 def _rest_pairs(postings: DataFrame, orders: int, percent: int) -> DataFrame:
     """Every pair of classes of different components that can be similar by its prefixes under all orders.
 
-    Under an order, all tokens that two sets share stand among those shared in the prefixes up to the last shared one, or
-    after it in both; that bounds the intersection from above.
+    Under an order, all tokens that two sets share stand among those from the first shared one on; that bounds the intersection from
+    above. Near copies share most of their prefixes, but meet once under an order: at their first common token, where one of both sets'
+    early tokens is common. Only pairs that have none there, which share few, meet at every token.
     """
-    a = postings.select("token", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("pa"))
-    b = postings.select("token", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    early = [f"e{i}" for i in range(_EARLY)]
+    postings = _with_early(postings)
+    a = postings.select("token", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("pa"),
+                        *(F.col(e).alias(f"a{e}") for e in early))
+    b = postings.select("token", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("pb"),
+                        *(F.col(e).alias(f"b{e}") for e in early))
     # the intersection a pair of these sizes needs, which also shortens both prefixes
     need = F.floor((percent * (F.col("na") + F.col("nb")) + 99 + percent) / (100 + percent))
     near = (F.col("pa") <= F.col("na") - need) & (F.col("pb") <= F.col("nb") - need)
     most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    met = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", percent) & near & (most >= need))
-    met = met.withColumn("k", F.col("token").bitwiseAND(F.lit(3))).groupBy("a", "b", "k").agg(
-        F.count("*").alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    most = F.col("shared") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    met = met.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
-    return met.groupBy("a", "b").agg(F.count("*").alias("under")).where(F.col("under") == orders).select("a", "b")
+    first = F.coalesce(*(F.when(F.col(f"a{e}").isin(*(F.col(f"b{x}") for x in early)), F.col(f"a{e}")) for e in early), "token")
+    met = a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", percent) & near & (most >= need)
+                                   & (first == F.col("token")))
+    under = F.bit_or(F.expr("shiftleft(1, cast(token & 3 as int))"))
+    return met.groupBy("a", "b").agg(under.alias("under")).where(F.col("under") == (1 << orders) - 1).select("a", "b")
 
 
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -319,8 +332,8 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side[0], "a").join(side[1], "b").where((100 + percent) * (size - differ) >= 2 * percent * size).select("a", "b")
 
 
-def _components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 1, hubs: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n, class) and classes (class, their smallest doc_id, component)."""
+def _prepared(docs: DataFrame, percent: int, orders: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, n, class), classes (class, their smallest doc_id, n, signature) and the postings that several classes share."""
     if not 1 <= orders <= 4:
         raise ValueError("between one and four orders")
     read = cut_lineage(_read(docs))
@@ -332,14 +345,35 @@ def _components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds
     own = Window.partitionBy("token")
     shared = every.withColumn("lo", F.min("class").over(own)).withColumn("hi", F.max("class").over(own)).where("lo <> hi")
     postings = cut_lineage(shared.groupBy("token", "class").agg(F.first("n").alias("n"), F.first("place").alias("place")))
+    return rows, classes, postings
+
+
+def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of the candidate pairs (a, b) that are similar."""
+    pairs = cut_lineage(_possible(pairs, classes, percent))
+    wanted = _bits(pairs.select(F.explode(F.array("a", "b")).alias("class")))
+    return cut_lineage(_verified(pairs, _sets(docs, wanted), percent))
+
 
+def similar_classes(docs: DataFrame, percent: int = 80, orders: int = 2) -> tuple[DataFrame, DataFrame]:
+    """The whole join: links (a, b) with a < b between classes of equal word sequences, each once, and members (doc_id, n_shingles, class).
+
+    Every link is there, also within a component; links of copies follow from the members. The output is as large as the number of links.
+    Texts without words are members without a class. Empty input gives no rows.
+    """
+    rows, classes, postings = _prepared(docs, percent, orders)
+    links = _linked(docs, _rest_pairs(_with_components(postings, None), orders, percent), classes, percent)
+    return links, rows.select("doc_id", F.col("n").alias("n_shingles"), "class")
+
+
+def _components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 1, hubs: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, class) and classes (class, their smallest doc_id, component)."""
+    rows, classes, postings = _prepared(docs, percent, orders)
     links, labels = None, None
     for k in range(star_rounds + 1):
         current = _with_components(postings, labels)
         pairs = _rest_pairs(current, orders, percent) if k == star_rounds else _star_pairs(current, k, hubs, percent)
-        pairs = cut_lineage(_possible(pairs, classes, percent))
-        wanted = _bits(pairs.select(F.explode(F.array("a", "b")).alias("class")))
-        found = cut_lineage(_verified(pairs, _sets(docs, wanted), percent))
+        found = _linked(docs, pairs, classes, percent)
         links = found if links is None else links.union(found)
         labels = cut_lineage(components(links).select(F.col("node").alias("class"), "component"))
 

@@ -66,6 +66,39 @@ def test_ngram_join_equals_brute_force(some_docs, docs_of):
     assert got == sorted((i, len(s), by_id[i]) for i, s in rows)
 
 
+@pytest.mark.parametrize("orders", [1, 2, 4])
+def test_ngram_join_finds_every_link_between_texts(docs_of, orders):
+    rng = np.random.default_rng(orders)
+    rows = []
+    for group, (size, words) in enumerate([(25, 160), (15, 400), (20, 60), (10, 6)]):
+        base = [f"g{group}w{i}" for i in range(words)]
+        for _ in range(size):  # from one changed word to so many that the pair is unlike
+            text = list(base)
+            for at in rng.integers(0, words, rng.integers(1, max(2, words // 50) + 1)):
+                text[at] = f"x{rng.integers(1 << 40)}"
+            rows.append((len(rows), " ".join(text)))
+    shared = " ".join(f"passage{i}" for i in range(60))
+    rows += [(500 + k, " ".join(f"d{k}w{i}" for i in range(60 + 5 * k)) + " " + shared) for k in range(30)]
+    rows += [(900, rows[3][1].upper()), (901, rows[3][1]), (902, None), (903, ""), (904, "two words"), (904, "two  words")]
+    links, members = ngram_join.similar_classes(docs_of(rows), orders=orders)
+    ids = {}
+    for r in members.collect():
+        ids.setdefault(r["class"], []).append(r["doc_id"])
+    got = [(r["a"], r["b"]) for r in links.collect()]
+    assert len(got) == len(set(got)) and all(a < b for a, b in got)
+    first = {min(x): c for c, x in ids.items() if c is not None}
+    assert sorted(ids[None]) == [902, 903] and sorted(ids[first[3]]) == [3, 900, 901] and ids[first[904]] == [904, 904]
+    texts = [(i, shingles(t)) for i, t in rows if i in first and t][:len(first)]
+    want = {tuple(sorted((first[texts[a][0]], first[texts[b][0]]))) for a, b in links_of(texts)}
+    assert len(want) > 100 and set(got) == want
+
+
+def test_ngram_join_of_an_empty_table(docs_of):
+    docs = docs_of([(1, "a")]).where("doc_id < 0")
+    assert ngram_join.link_components(docs).count() == 0 and ngram_join.representatives(docs).count() == 0
+    assert [x.count() for x in ngram_join.similar_classes(docs)] == [0, 0]
+
+
 def test_representatives_keep_one_row_of_each_group(docs_of):
     text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"}
     near = text["a"].replace("a59", "x")
