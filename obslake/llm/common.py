@@ -21,6 +21,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this run has written."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the whole ``text`` (null: empty); other columns are left behind, whatever their names."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -6,12 +6,12 @@ rows are scaled to length one, and a linear hinge-loss model is fitted by dual c
 margins of held-out folds of the training rows turns margins into scores.
 
 Learning reads at most ``max_rows`` labelled rows, those with the smallest hash of their id (a documented bound: the model
-is fitted in the driver; its size is bounded by ``max_rows`` and ``max_features``). n-grams are found where the texts lie.
+is fitted in one task; its size is bounded by ``max_rows`` and ``max_features``). n-grams are found where the texts lie.
 Scoring covers every row's whole text, with the weights sent to the tasks once.
 
 Null and empty texts are scored like any text without n-grams. Labels that are null or have no document are left out;
 of several labels of an id the smallest counts. Repeated rows give repeated results. Without labelled rows, or with one class
-only, the score is the smoothed share of label 1. Only ``doc_id`` (for the folds) and ``text`` are read from the documents.
+only, the score is the smoothed share of label 1. Empty tables give no rows. Only ``doc_id`` (for the folds) and ``text`` are read from the documents.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -78,10 +79,16 @@ class Features:
 
 
 class Model:
-    def __init__(self, weights: dict[int, float], bias: float, slope: float, offset: float) -> None:
-        self.weights, self.bias, self.slope, self.offset = weights, bias, slope, offset
+    """Feature hashes with their weights and log-count ratios, as arrays; a table by hash is built where texts are scored."""
 
-    def score(self, features: set[int], ratio: dict[int, float] | None = None) -> float:
+    def __init__(self, ids: np.ndarray, w: np.ndarray, ratio: np.ndarray, bias: float, slope: float, offset: float) -> None:
+        self.ids, self.w, self.ratio, self.bias, self.slope, self.offset = ids, w, ratio, bias, slope, offset
+
+    @cached_property
+    def weights(self) -> dict[int, tuple[float, float]]:
+        return dict(zip(self.ids.tolist(), zip(self.w.tolist(), self.ratio.tolist())))
+
+    def score(self, features: set[int]) -> float:
         weights = self.weights
         found = [weights[f] for f in features if f in weights]
         norm = sum([r * r for _, r in found]) ** 0.5 or 1.0
@@ -126,7 +133,7 @@ def fit(features: list[np.ndarray], labels: np.ndarray, min_count: int = 3, max_
     y = np.where(labels == 1, 1.0, -1.0)
     share = (float((y > 0).sum()) + 1) / (len(y) + 2)
     if len(set(y.tolist())) < 2:
-        return Model({}, 0.0, 0.0, float(np.log(share / (1 - share))))
+        return Model(np.empty(0, np.int64), np.empty(0), np.empty(0), 0.0, 0.0, float(np.log(share / (1 - share))))
     vocabulary, counts = np.unique(np.concatenate(features), return_counts=True)
     if (counts >= min_count).sum() > max_features:
         min_count = int(np.sort(counts)[-max_features])
@@ -156,8 +163,7 @@ def fit(features: list[np.ndarray], labels: np.ndarray, min_count: int = 3, max_
             held[test_rows] = margins(test_rows, *train(train_rows))
     slope, offset = _logistic(held, y)
     w, ratio = train(np.arange(len(y)))
-    weights = {int(f): (float(w[i]), float(ratio[i])) for i, f in enumerate(vocabulary)}
-    return Model(weights, float(w[-1]), slope, offset)
+    return Model(vocabulary, w[:-1], ratio, float(w[-1]), slope, offset)
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, learn: tuple[int, int, bool], max_rows: int) -> DataFrame:
@@ -176,6 +182,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: tuple[int, int
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 5, remainder: int = 0,
           max_rows: int = 6_000) -> Model:
+    """The model, fitted in one task on the bounded sample: the driver gets its arrays only.
+
+    Without labelled rows, or with one class, every text gets the class share as its score.
+    """
     def run(it):
         features = Features()
         schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int64()))])
@@ -184,11 +194,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
                     zip(batch["doc_id"].to_pylist(), batch["label"].to_pylist(), batch["text"], strict=True)]
             yield from batches(rows, schema, 500)
 
+    def fitted(it):
+        rows = sorted(((i, y, np.asarray(f.values, np.int64)) for batch in it for i, y, f in
+                       zip(batch["doc_id"].to_pylist(), batch["label"].to_pylist(), batch["features"], strict=True)), key=lambda x: x[0])
+        model = fit([f for _, _, f in rows], np.array([y for _, y, _ in rows], int))
+        yield pa.RecordBatch.from_pylist([{x: getattr(model, x).tobytes() for x in arrays} | {x: getattr(model, x) for x in numbers}])
+
+    arrays, numbers = ("ids", "w", "ratio"), ("bias", "slope", "offset")
     rows = sample(docs, labels, label, (modulus, remainder, False), max_rows)
     rows = rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, features array<long>")
-    table = rows.toArrow().sort_by("doc_id")
-    features = [np.asarray(f.values, np.int64) for f in table["features"]]
-    return fit(features, np.array(table["label"].to_pylist(), int))
+    schema = ", ".join([*(f"{x} binary" for x in arrays), *(f"{x} double" for x in numbers)])
+    found = next(iter(rows.repartition(1).mapInArrow(fitted, schema).collect()), None)
+    if found is None:  # no row, so there need be no task
+        return fit([], np.empty(0, int))
+    ids, w, ratio = (np.frombuffer(found[x], t) for x, t in zip(arrays, (np.int64, np.float64, np.float64)))
+    return Model(ids, w, ratio, found["bias"], found["slope"], found["offset"])
 
 
 def score(docs: DataFrame, model: Model, modulus: int = 5, remainder: int = 0, threshold: float = 0.3) -> DataFrame:

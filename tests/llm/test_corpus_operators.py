@@ -203,6 +203,17 @@ def test_classifiers_on_held_out_rows(spark, operator, label, modulus, remainder
     assert operator.score(odd, one_class).where("predicted = 1").count() == 0
 
 
+def test_quality_without_labels_or_rows(spark, docs_of):
+    docs = docs_of([(1, "a b c"), (1, "a b c"), (2, None), (None, ""), (5, "d " * 60)])
+    labels = spark.createDataFrame([(2, None), (None, 1), (99, 1)], "doc_id long, quality int")
+    for some in (labels, labels.where("quality = 7")):
+        model = nbsvm.train(docs, some)
+        assert {r["score"] for r in nbsvm.score(docs, model).collect()} == {0.5} and nbsvm.keep(docs, model).count() == 5
+    none = docs.where("doc_id < 0")
+    model = nbsvm.train(none, labels)
+    assert nbsvm.score(none, model).count() == 0 and nbsvm.keep(none, model).columns == docs.columns
+
+
 def test_toxic_spans_are_offsets():
     field = toxicity.Field({"=nasty": 9.0}, -5.0, np.zeros((2, 2)))
     score, spans = toxicity.Scorer(field).score("A calm start. Some nasty, words.")
@@ -224,3 +235,14 @@ def test_pipeline_stages(spark, sf):
     assert set(joined) == {i for i in rules if of[i] == i}
     packed = corpus_pipeline.STAGES[3][1](spark, docs, sf)
     assert {r["doc_id"] for r in packed.collect()} == set(joined)
+
+
+def test_pipeline_on_awkward_rows_and_none(spark, docs_of, tmp_path):
+    text = {c: " ".join(f"{c}{i}" for i in range(70)) + "." for c in "abc"}
+    rows = [(1, text["a"]), (1, text["a"]), (2, text["a"].upper()), (None, text["b"]), (None, text["c"]), (3, None), (4, ""), (5, "few words")]
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    for name, docs, want in (("some", docs_of(rows), [(None, 70), (None, 70), (1, 70)]), ("none", docs_of(rows).where("doc_id < 0"), [])):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert sorted((r["doc_id"] or 0 for r in got)) == sorted(i or 0 for i, _ in want) and all(r["length"] > 70 for r in got)
