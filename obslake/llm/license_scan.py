@@ -4,11 +4,13 @@ The automaton holds every run of words of every template. A document's words go
 gives the longest run that ends there and stands in some template (its matching statistic). A run that the next
 word does not lengthen is a match; matches of ``min_match`` words or more are chained per template, forward in both texts
 and with at most ``max_gap`` words between, into spans. A span that covers ``min_cover`` of its template's words, or
-``enough`` words of a long one, is a find of that template's label. A base phrase is found wherever its state lies on the
+``enough`` words of a long one, is a find of that template's label if one of its matches is telling: it stands in templates of that
+label alone. Notices are made from the names of the licences and the words before them; in a notice a match counts only if it holds
+the whole name, so the wording that all notices share finds nothing. A base phrase is found wherever its state lies on the
 suffix path of the current state and the statistic is long enough, so all its places come from the same pass.
 
-``score``: the largest share of a template that one span covers; 1 if a base phrase stands in the text; 0 without matches.
-The state is a number and a length, and open chains end after ``max_gap`` words, so memory does not grow with the text.
+``score``: the largest share of a template that one span with a telling match covers; 1 if a base phrase stands in the text; else 0.
+The automaton's state is a number and a length; the matches of one text are held until it ends, so memory grows with its licence wording.
 
 Null and empty texts have no words and no labels. Words of other scripts take part as they are. Repeated rows give
 repeated results; columns other than ``doc_id`` and ``text`` are ignored.
@@ -26,29 +28,51 @@ from obslake.llm.common import batches, texts
 #: Base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: The wording of public licences' notices, by label.
+#: Names of public licences, by label.
+NAMES = [
+    ("agpl", "gnu affero general public license"),
+    ("apache", "apache license version 2.0"),
+    ("apache", "apache license 2.0"),
+    ("bsd", "bsd license"),
+    ("bsd", "bsd 2 clause license"),
+    ("bsd", "bsd 3 clause license"),
+    ("cc-by", "creative commons attribution 4.0 international license"),
+    ("cc-by", "cc by 4.0"),
+    ("cc-by-nc", "creative commons attribution noncommercial 4.0 international license"),
+    ("cc-by-nc", "cc by nc 4.0"),
+    ("cc-by-sa", "creative commons attribution sharealike 4.0 international license"),
+    ("cc-by-sa", "cc by sa 4.0"),
+    ("cc0", "creative commons zero license"),
+    ("epl", "eclipse public license"),
+    ("gpl", "gnu general public license"),
+    ("isc", "isc license"),
+    ("lgpl", "gnu lesser general public license"),
+    ("mit", "mit license"),
+    ("mpl", "mozilla public license"),
+]
+
+#: The words before a name in a notice.
+BEFORE = ["licensed under", "released under", "distributed under", "published under", "available under", "under the terms of"]
+
+#: The wording of public licences, by label.
 TEMPLATES = [
-    ("apache", "licensed under the apache license version 2.0"),
-    ("apache", "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the"
-               " license you may obtain a copy of the license at http www apache org licenses license 2.0"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache"
+               " org licenses license 2.0"),
     ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed"
                " on an as is basis without warranties or conditions of any kind either express or implied"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public"
             " license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied"
             " warranty of merchantability or fitness for a particular purpose"),
-    ("lgpl", "under the terms of the gnu lesser general public license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation"
             " files the software to deal in the software without restriction including without limitation the rights to use copy"
             " modify merge publish distribute sublicense and or sell copies of the software"),
-    ("mit", "released under the mit license"),
-    ("mit", "licensed under the mit license"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the"
             " following conditions are met"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived"
+            " from this software without specific prior written permission"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2.0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
-    ("cc-by", "licensed under cc by 4.0"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
 ]
@@ -61,6 +85,12 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_TABLE).split()
 
 
+def notices(names: Sequence[tuple[str, str]] = NAMES, before: Sequence[str] = BEFORE) -> list[tuple[str, list[bytes], int]]:
+    """(label, words, place of the name) of every notice; articles stand before a name or do not."""
+    return [(label, words_of(f"{b} {article} {name}"), len(words_of(f"{b} {article}")))
+            for label, name in names for b in before for article in ("", "the", "a")]
+
+
 class Automaton:
     """Generalised suffix automaton of word sequences; each state knows where in the templates its runs end."""
 
@@ -128,14 +158,18 @@ class Automaton:
 
 class Scanner:
     def __init__(self, templates: Sequence[tuple[str, str]] = TEMPLATES, base: dict[str, str] = BASE, min_match: int = 3,
-                 max_gap: int = 12, min_cover: float = 0.6, enough: int = 12) -> None:
+                 max_gap: int = 12, min_cover: float = 0.6, enough: int = 12, names: Sequence[tuple[str, str]] = NAMES) -> None:
         self.base = [(words_of(p), label) for p, label in base.items()]
-        self.labels = [label for label, _ in templates]
-        sequences = [words_of(t) for _, t in templates]
+        made = notices(names)
+        self.labels = [label for label, _ in templates] + [label for label, *_ in made]
+        sequences = [words_of(t) for _, t in templates] + [words for _, words, _ in made]
+        self.name_at = [-1] * len(templates) + [at for *_, at in made]
         self.sizes = [len(s) for s in sequences]
         self.automaton = Automaton([*sequences, *(p for p, _ in self.base)])
         self.vocabulary = {w for following in self.automaton.next for w in following}
         self.min_match, self.max_gap, self.min_cover, self.enough = min_match, max_gap, min_cover, enough
+        #: Of each state: whether its runs stand in the templates of one label alone.
+        self.telling = [len({self.labels[q] for q, _ in ends if q < len(self.labels)}) == 1 for ends in self.automaton.ends]
         whole = {self.automaton.run(p): i for i, (p, _) in enumerate(self.base)}
         self.phrases: list[list[int]] = []  # of each state: base phrases on its suffix path
         for state in range(len(self.automaton.link)):
@@ -146,11 +180,11 @@ class Scanner:
                 state = self.automaton.link[state]
             self.phrases.append(found)
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
-        """Base places (phrase, first word), and matches (template, place there, place here, words)."""
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int, bool]]]:
+        """Base places (phrase, first word), and matches (template, place there, place here, words, telling)."""
         step, phrases, vocabulary = self.automaton.step, self.phrases, self.vocabulary
         places: list[tuple[int, int]] = []
-        matches: list[tuple[int, int, int, int]] = []
+        matches: list[tuple[int, int, int, int, bool]] = []
         state = length = 0
         before = -1
         for i, word in enumerate(words):
@@ -171,36 +205,40 @@ class Scanner:
         self._close(state, length, before, matches)
         return places, matches
 
-    def _close(self, state: int, length: int, last: int, matches: list[tuple[int, int, int, int]]) -> None:
+    def _close(self, state: int, length: int, last: int, matches: list[tuple[int, int, int, int, bool]]) -> None:
         if length >= self.min_match:
+            telling = self.telling[state]
             for which, at in self.automaton.ends[state]:
-                if which < len(self.labels):
-                    matches.append((which, at - length + 1, last - length + 1, length))
+                if which >= len(self.labels):
+                    continue
+                name = self.name_at[which]
+                if name < 0 or (telling and at == self.sizes[which] - 1 and at - length + 1 <= name):
+                    matches.append((which, at - length + 1, last - length + 1, length, telling))
 
-    def spans(self, matches: list[tuple[int, int, int, int]]) -> Iterator[tuple[str, int, int, float, bool]]:
+    def spans(self, matches: list[tuple[int, int, int, int, bool]]) -> Iterator[tuple[str, int, int, float, bool]]:
         """Chains as (label, first word, end, share of the template, found)."""
-        by_template: dict[int, list[tuple[int, int, int]]] = {}
-        for which, there, here, n in matches:
-            by_template.setdefault(which, []).append((here, there, n))
+        by_template: dict[int, list[tuple[int, int, int, bool]]] = {}
+        for which, there, here, n, telling in matches:
+            by_template.setdefault(which, []).append((here, there, n, telling))
         for which, ms in by_template.items():
             ms.sort()
-            best: list[tuple[int, int]] = []  # covered words, first word; of the best chain that ends with each match
+            best: list[tuple[int, int, bool]] = []  # covered words, first word, telling; of the best chain that ends with each match
             first_open, used = 0, set()
-            for j, (here, there, n) in enumerate(ms):
+            for j, (here, there, n, telling) in enumerate(ms):
                 while ms[first_open][0] + self.sizes[which] + self.max_gap < here:
                     first_open += 1
                 covered, start, came = n, here, -1
                 for i in range(first_open, j):
-                    h, t, m = ms[i]
+                    h, t, m, _ = ms[i]
                     over = max(0, h + m - here, t + m - there)  # shared words count once
                     if h < here and t < there and over < n and here - h - m <= self.max_gap and there - t - m <= self.max_gap \
                             and best[i][0] + n - over > covered:
                         covered, start, came = best[i][0] + n - over, best[i][1], i
-                best.append((covered, start))
+                best.append((covered, start, telling or (came >= 0 and best[came][2])))
                 if came >= 0:
                     used.add(came)
-            for j, (covered, start) in enumerate(best):
-                if j not in used:
+            for j, (covered, start, telling) in enumerate(best):
+                if j not in used and telling:
                     share = min(1.0, covered / self.sizes[which])
                     yield self.labels[which], start, ms[j][0] + ms[j][2], share, share >= self.min_cover or covered >= self.enough
 

@@ -62,6 +62,40 @@ def test_licence_chains_survive_changed_words(docs_of):
     assert rows[2]["labels"] == "" and rows[3]["n_words"] == 0 and rows[3]["score"] == 0
 
 
+def test_licence_labels_need_the_name(docs_of):
+    texts = {
+        "released under the Apache License, Version 2.0": "apache",
+        "Licensed under the Eclipse Public License 2.0": "epl",
+        "licensed under the Foo Bar License 2.0, released under the terms of the club": "",
+        "Students under the MIT program": "",
+        "Released under MIT License": "mit",
+        "This work is licensed under the GNU General Public License, version 3": "gpl",
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",  # the first one as base phrase
+        "this work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "distributed in the hope of something, without restriction": "",
+    }
+    got = {r["doc_id"]: r for r in license_scan.scan_licences(docs_of(enumerate(texts))).collect()}
+    assert [got[i]["labels"] for i in range(len(texts))] == list(texts.values())
+    assert all((r["score"] >= 0.6) == bool(r["labels"]) for r in got.values())  # part of a text scores, below what a find needs
+
+
+def test_licence_names_equal_a_plain_search():
+    scanner, rng = license_scan.Scanner(), random.Random(3)
+    pool = sorted({w for _, words, _ in license_scan.notices() for w in words} | {b"foo"})
+    made = license_scan.notices()
+    for _ in range(300):
+        words = []
+        for _ in range(6):
+            words += rng.choice(made)[1] if rng.random() < 0.5 else [rng.choice(pool) for _ in range(rng.randint(1, 5))]
+        got = {(label, first, end) for label, first, end, _, found in scanner.spans(scanner.scan(words)[1]) if found}
+        for label, first, end in got:  # each find ends with a whole name of its label
+            assert any(label == x and words[end - len(n) + at:end] == n[at:] for x, n, at in made)
+        for label, n, _ in made:  # each whole notice is found, or lies in that of a longer name
+            for i in range(len(words) - len(n) + 1):
+                if words[i:i + len(n)] == n:
+                    assert any(first <= i + 1 and end >= i + len(n) for _, first, end in got), (label, words)
+
+
 # --- quality rules -------------------------------------------------------------------------------------
 
 def test_quality_rules_equal_sql(some_docs, plan):
