@@ -7,12 +7,13 @@ documents are not. The field has two states, a weight for each sign, and weights
 gradient ascent on the likelihood, with forward and backward sums over sentences of at most ``PIECE`` tokens.
 
 A document's score is the chance that any of its tokens is toxic, 1 - prod(1 - p) over marginals p; spans are runs of tokens
-with p of one half or more, as offsets of characters. A sentence without any sign has marginals below ``FLOOR``
-(the model checks it when fitted), so only sentences with signs need the sums. Whole texts are read.
+with p of one half or more, as offsets of characters. A marginal counts only if it is at least ``FLOOR`` and more than any that a sentence
+without signs can have, so the length of a text alone raises no score, and only sentences with signs need the sums. Whole texts are read.
 
 Learning reads at most ``max_rows`` labelled rows, those with the smallest hash of their id (a documented bound). Signs are
 counted by Spark; what is fitted is bounded by the sample. Null and empty texts score like any text without signs.
-Repeated rows give repeated results; only ``doc_id`` and ``text`` are read. Without toxic examples no text scores above the floor.
+Repeated rows give repeated results; only ``doc_id`` and ``text`` are read. Without toxic examples, or
+without labels, there are no signs and no text scores above the floor.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ class Field:
         self.weights, self.bias, self.step = weights, bias, step
         alone, _ = marginals(np.full((PIECE, PIECE), bias), np.arange(1, PIECE + 1), step)
         self.rest = float(alone.max())
-        self.skip = self.rest < FLOOR
+        self.least = max(FLOOR, self.rest + 1e-9)
 
     def token(self, token: str) -> float | None:
         """The sum of the token's weights; None without any sign."""
@@ -121,18 +122,17 @@ class Scorer:
                 if len(plain) >= _CACHED:
                     plain.clear()
                 plain.add(words[i])
-        if not words or (not signs and self.field.skip):
+        if not signs:
             return self.field.rest * FLOOR, []
         cut = pieces(words)
-        if self.field.skip:
-            at = sorted(signs)
-            kept, k = [], 0
-            for a, b in cut:
-                while k < len(at) and at[k] < a:
-                    k += 1
-                if k < len(at) and at[k] < b:
-                    kept.append((a, b))
-            cut = kept
+        at = sorted(signs)
+        kept, k = [], 0
+        for a, b in cut:
+            while k < len(at) and at[k] < a:
+                k += 1
+            if k < len(at) and at[k] < b:
+                kept.append((a, b))
+        cut = kept
         clean, toxic = 1.0, []
         for i in range(0, len(cut), 256):  # sentences go through a block at a time
             part = cut[i:i + 256]
@@ -143,8 +143,8 @@ class Scorer:
                     if j in signs:
                         on[r, j - a] += signs[j]
             chance, _ = marginals(on, size, self.field.step)
-            clean *= float(np.prod(1 - np.where(chance >= FLOOR, chance, 0)))
-            toxic += [(part[r][0] + t, float(chance[r, t])) for r, t in zip(*np.nonzero(chance >= 0.5))]
+            clean *= float(np.prod(1 - np.where(chance >= self.field.least, chance, 0)))
+            toxic += [(part[r][0] + t, float(chance[r, t])) for r, t in zip(*np.nonzero(chance >= max(0.5, self.field.least)))]
         return max(1 - clean, self.field.rest * FLOOR), _spans(text, toxic) if toxic else []
 
 

@@ -220,6 +220,38 @@ def test_toxic_spans_are_offsets():
     assert score > 0.9 and [(a, b) for a, b, _ in spans] == [(19, 25)]
 
 
+def test_field_without_toxic_rows(docs_of):
+    docs = docs_of([(i, f"calm words number {i} in a row. " * 40) for i in range(60)] + [(100, None), (101, "")])
+    empty = docs.sparkSession.createDataFrame([], "doc_id long, toxic int")
+    clean = docs.select("doc_id", F.lit(0).alias("toxic"))
+    for labels in (empty, clean):
+        got = toxicity.score(docs, toxicity.train(docs, labels)).collect()
+        assert len(got) == 62 and all(r["score"] < toxicity.FLOOR and r["predicted"] == 0 for r in got)
+
+
+def test_length_alone_raises_no_score():
+    field = toxicity.Field({"=nasty": 9.0}, -2.0, np.zeros((2, 2)))  # a bias above the floor, as of few labels
+    scorer = toxicity.Scorer(field)
+    assert scorer.score("calm words here. " * 5_000)[0] < toxicity.FLOOR
+    assert scorer.score("calm words here. " * 5_000 + "Some nasty words.")[0] > 0.9
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(1)
+    on, size, step = rng.normal(size=(3, 5)), np.array([5, 3, 1]), rng.normal(size=(2, 2))
+    chance, steps = toxicity.marginals(on, size, step)
+    for r in range(3):
+        total, want, moves = 0.0, np.zeros(5), np.zeros(4)
+        for code in range(2 ** size[r]):
+            y = [code >> t & 1 for t in range(size[r])]
+            weight = math.exp(sum(on[r, t] for t in range(size[r]) if y[t]) + sum(step[a, b] for a, b in zip(y, y[1:])))
+            total += weight
+            want[:size[r]] += weight * np.array(y)
+            for a, b in zip(y, y[1:]):
+                moves[2 * a + b] += weight
+        assert np.allclose(chance[r], want / total) and np.allclose(steps[r], moves / total)
+
+
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("kept", F.lit(1))
     seen = {}
