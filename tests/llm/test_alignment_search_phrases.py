@@ -226,6 +226,42 @@ def test_scores_beyond_64_bits(spark):
     assert got == 10**6 * 9000000000000000**2 // (9000000000000001 * 9000000000000003)
 
 
+def test_words_that_share_a_key_are_counted_anew(spark):
+    rows = texts_with_phrases()
+    df = spark.createDataFrame(rows, TEXTS)
+    assert sorted(tuple(r) for r in phrase_mining.mine(df, key_bits=5).collect()) == duck_rows(rows)
+
+
+def test_long_phrases_are_counted_by_keys(spark):
+    rows = texts_with_phrases()
+    df = spark.createDataFrame(rows, TEXTS)
+    singles, pairs, triples = phrase_mining.key_counts(df)
+    assert [c.columns for c in (singles, pairs, triples)] == [["k1", "lang", "phrase", "f"], ["k1", "k2", "f"], ["k1", "k2", "k3", "f"]]
+    assert {t for c in (pairs, triples) for _, t in c.dtypes} == {"bigint"}  # no text is sent
+    want, blanks, ends = Counter(), str.maketrans("\t", " "), "".join(map(chr, phrase_mining.ENDS))
+    for lang, text in rows:
+        lower = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        for piece in lower.translate(str.maketrans(ends, "\n" * len(ends))).split("\n"):
+            words = [w for w in piece.translate(blanks).split(" ") if w]
+            want.update((lang or "und", " ".join(words[k:k + n])) for n in (1, 2, 3) for k in range(len(words) - n + 1))
+    got = [tuple(r) for c in phrase_mining.phrase_counts(df) for r in c.where("phrase is not null").collect()]
+    assert sorted(got) == sorted((*key, f) for key, f in want.items() if f >= 10)
+
+
+def test_hashes_of_words_by_their_bytes():
+    rng = random.Random(6)
+    words = sorted({bytes(rng.choice(b"ab\x00") for _ in range(n)) for n in [*range(20), 63, 64, 65, 66, 130, 5_000] for _ in range(6)})
+    words += [w[:-1] + b"c" for w in words if len(w) > 60] + [w[1:2] + w[:1] + w[2:] for w in words if len(w) > 60 and w[0] != w[1]]
+    words = sorted(set(words))
+    found = []
+    for order in (words, words[::-1]):
+        data = np.frombuffer(b"x".join(order), np.uint8)
+        ends = np.cumsum([len(w) + 1 for w in order]) - 1
+        found += [dict(zip(order, phrase_mining._word_hashes(data, ends - [len(w) for w in order], ends, salt).tolist())) for salt in (0, 1)]
+    assert found[0] == found[2] and found[1] == found[3] and all(len(set(f.values())) == len(words) for f in found)
+    assert not set(found[0].values()) & set(found[1].values())
+
+
 def test_parse_covers_each_ngram_once():
     rng = random.Random(9)
     texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(0, 90))) + rng.choice([".", "", "\n x"]) for _ in range(60)]
