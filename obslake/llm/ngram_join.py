@@ -16,7 +16,7 @@ verified against a few hubs it shares most prefix tokens with, and linked classe
 verifies every candidate pair of classes that still lie in different components, so no link between components is missed. The links
 themselves, all of them, come from ``similar_classes``, which has no star round.
 
-Hash collisions: 64 bits for sequences and shingles, 48 bits for the shingles of one compared pair.
+Hash collisions: 64 bits for sequences, shingles and texts of one id, 48 bits for the shingles of one compared pair.
 
 Null and empty texts have no shingles, link with nothing and are their own component. Repeated rows are copies. Only ``doc_id``
 and ``text`` are read. Empty input gives no rows. Very long texts are hashed in segments.
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from obslake.llm.common import batches, components, mix, shingle_hashes, texts
+from obslake.llm.common import WORD, batches, components, mix, shingle_hashes, texts
 from obslake.session import cut_lineage
 
 WIDTH = 5
@@ -78,12 +78,12 @@ def _signature(hashes: np.ndarray) -> list[int]:
 
 
 _SIGNS = [f"s{i}" for i in range(_SIGNED)]
-_DOC = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("block", pa.int32()), ("counters", pa.binary()),
+_DOC = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("block", pa.int32()), ("counters", pa.binary()),
                   *((s, pa.int64()) for s in _SIGNS)])
 
 
 def _read(docs: DataFrame) -> DataFrame:
-    """One pass: a row per document (doc_id, n, class, signature), and rows of counters (block, counters)."""
+    """One pass: a row per document (doc_id, h: hash of its text, n, class, signature), and rows of counters (block, counters)."""
 
     def run(it):
         total = np.zeros(COUNTERS, np.int64)
@@ -95,10 +95,10 @@ def _read(docs: DataFrame) -> DataFrame:
 
         for batch in it:
             rows, size = [], 0
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            for doc_id, h, text in zip(batch["doc_id"].to_pylist(), batch["h"].to_pylist(), batch["text"], strict=True):
                 words = _words(text.as_py())
                 hashes = np.unique(shingle_hashes(words, WIDTH))
-                rows.append((doc_id, len(hashes), _class_of(words) if words else None, None, None, *_signature(hashes)))
+                rows.append((doc_id, h, len(hashes), _class_of(words) if words else None, None, None, *_signature(hashes)))
                 held.append(hashes)
                 size += len(hashes)
                 if size > 2 * COUNTERS:
@@ -107,9 +107,11 @@ def _read(docs: DataFrame) -> DataFrame:
             if held:
                 count()
             yield from batches(rows, _DOC, 20_000)
-        yield from batches([(None, None, None, *b, *[None] * _SIGNED) for b in _blocks(total)], _DOC, 64)
+        yield from batches([(None, None, None, None, *b, *[None] * _SIGNED) for b in _blocks(total)], _DOC, 64)
 
-    return texts(docs).mapInArrow(run, "doc_id long, n long, class long, block int, counters binary, " + ", ".join(f"{s} long" for s in _SIGNS))
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    hashed = hashed.select(F.col("doc_id").cast("long").alias("doc_id"), "h", F.coalesce("text", F.lit("")).alias("text"))
+    return hashed.mapInArrow(run, "doc_id long, h long, n long, class long, block int, counters binary, " + ", ".join(f"{s} long" for s in _SIGNS))
 
 
 def rarity(counters: np.ndarray) -> np.ndarray:
@@ -333,13 +335,14 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _prepared(docs: DataFrame, percent: int, orders: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (doc_id, n, class), classes (class, their smallest doc_id, n, signature) and the postings that several classes share."""
+    """Rows (doc_id, h, n, class), classes (class, their smallest doc_id, its smallest h, n, signature) and the postings that several classes share."""
     if not 1 <= orders <= 4:
         raise ValueError("between one and four orders")
     read = cut_lineage(_read(docs))
-    rows = read.where("block is null").select("doc_id", "n", "class")
-    classes = cut_lineage(read.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), *(F.first(x).alias(x) for x in ("n", *_SIGNS))))
+    rows = read.where("block is null").select("doc_id", "h", "n", "class")
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("smallest")
+    classes = read.where("class is not null").groupBy("class").agg(smallest, *(F.first(x).alias(x) for x in ("n", *_SIGNS)))
+    classes = cut_lineage(classes.select("class", "smallest.doc_id", "smallest.h", "n", *_SIGNS))
     rank = rarity(_sum_blocks(read.where("block is not null").select("block", "counters"), COUNTERS // _BLOCK))
     every = _postings(docs, rank, percent, orders)
     own = Window.partitionBy("token")
@@ -367,7 +370,7 @@ def similar_classes(docs: DataFrame, percent: int = 80, orders: int = 2) -> tupl
 
 
 def _components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds: int = 1, hubs: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n, class) and classes (class, their smallest doc_id, component)."""
+    """Rows (doc_id, h, n, class) and classes (class, their smallest doc_id, its smallest h, component)."""
     rows, classes, postings = _prepared(docs, percent, orders)
     links, labels = None, None
     for k in range(star_rounds + 1):
@@ -377,7 +380,7 @@ def _components(docs: DataFrame, percent: int = 80, orders: int = 2, star_rounds
         links = found if links is None else links.union(found)
         labels = cut_lineage(components(links).select(F.col("node").alias("class"), "component"))
 
-    joined = classes.select("class", "doc_id").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    joined = classes.select("class", "doc_id", "h").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     return rows, joined
 
 
@@ -396,19 +399,19 @@ def link_components(docs: DataFrame, percent: int = 80, orders: int = 2, star_ro
 def representatives(docs: DataFrame, **settings) -> DataFrame:
     """One row of ``docs`` per component, unchanged: that of the smallest doc_id (nulls last), then of the smallest class and text hash.
 
-    Rows are matched by the class of their text and their id, so different texts that share an id, or have none, all stay.
+    Rows are matched by their id and the 64-bit hash of their text, so different texts that share an id, or have none, all stay.
     Rows without words link with nothing: one stays per id, and all that have none.
     """
-    joined = _components(docs, **settings)[1]
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")).alias("first")
-    kept = joined.groupBy("component").agg(first).select(F.col("first.class").alias("kept_class"), F.col("first.doc_id").alias("kept_id"))
-    # not deterministic in name only, so that the texts are read once
-    class_of = F.udf(lambda text: _class_of(words) if text and (words := _words(text)) else None, "long", useArrow=True).asNondeterministic()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), class_of("text").alias("class"),
-                       F.xxhash64("text").alias("h"))
-    # by both keys: copies of one text lie under their ids, and only one of these is met
-    met = rows.join(kept, (F.col("class") == F.col("kept_class")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
-    wordless = rows.where("class is null")
-    one = [x.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy("h"))).where("place = 1").select("row")
-           for x, key in ((met, "class"), (wordless.where("id is not null"), "id"))]
-    return one[0].union(one[1]).union(wordless.where("id is null").select("row")).select("row.*")
+    members, joined = _components(docs, **settings)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class", "h")).alias("first")
+    kept = joined.groupBy("component").agg(first).select("first.doc_id", "first.h")
+    kept = kept.union(members.where("class is null and doc_id is not null").groupBy("doc_id").agg(F.min("h").alias("h")))
+    # an id as two keys that are never null, for the rank and the join alike, so that texts are sent once
+    kept = kept.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("key"), "h")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"),
+                       F.coalesce("text", F.lit("")).rlike(WORD).alias("worded"))
+    keyed = rows.where("worded or id is not null").select("row", F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0)).alias("key"), "h")
+    same = ["none", "key", "h"]
+    one = keyed.withColumn("place", F.row_number().over(Window.partitionBy(*same).orderBy("h"))).where("place = 1")
+    met = one.join(kept, same, "left_semi").select("row")
+    return met.union(rows.where("not worded and id is null").select("row")).select("row.*")

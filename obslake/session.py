@@ -86,9 +86,21 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/obslake-{label}-{uuid.uuid4().hex}"
 
 
+#: Deletes what a query has shuffled when it ends. Otherwise it lies on the executors' disks until the driver's heap happens to be collected.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder, partitions and row order kept."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Materialise ``df`` once in the shared folder, partitions and row order kept; what was shuffled for it is deleted."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    before = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        return df.select("*").checkpoint()  # a new plan: the setting holds for plans made under it
+    finally:
+        if before is None:
+            spark.conf.unset(_RELEASE)
+        else:
+            spark.conf.set(_RELEASE, before)

@@ -114,6 +114,14 @@ def test_representatives_keep_one_row_of_each_group(docs_of):
     assert got == sorted(want, key=str)
 
 
+def test_representatives_send_texts_once(docs_of, plan):
+    rows = [(1, "one two three"), (1, "one two three"), (None, "four five"), (None, "four five"), (0, "four five"), (0, "six"), (None, "six")]
+    got = ngram_join.representatives(docs_of(rows))
+    text = plan(got)
+    assert "Exchange" not in text[:text.index("LeftSemi")]  # the join and the rank share one exchange, which is below both
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == [(0, "four five"), (0, "six"), (1, "one two three")]
+
+
 def test_class_lm_baseline_and_proper_model(some_docs):
     rows = [(r["doc_id"], [*(r["text"] or "").encode().lower().split(), None]) for r in some_docs.where("doc_id is not null").collect()]
     held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from obslake.operators.gapfill import forward_fill
 from obslake.operators.numbering import dense_rank_desc, global_row_number, top_with_ties
 from obslake.operators.silver import flag_rows, profile, profile_totals, quality_flag
 from obslake.plans import reports
+from obslake.session import cut_lineage
 
 HOT = "s0"  # holds a third of all rows in the generated frames
 
@@ -367,3 +369,22 @@ def test_completeness_and_missing_slots(spark):
     assert got == {("a", 1): 2, ("a", 2): 0, ("a", 3): 1, ("b", 1): 0, ("b", 2): 1, ("b", 3): 0}
     missing = reports.missing_slots(obs).groupBy("station_id").count().collect()
     assert {r.station_id: r["count"] for r in missing} == {"a": 97 - 3, "b": 97 - 1}
+
+
+# --- cutting lineage ------------------------------------------------------------------------------
+
+def test_cut_lineage_deletes_what_it_shuffled(spark):
+    def shuffled():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in (found.apply(i).getName() for i in range(found.size())) if x.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    df = spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count("*").alias("n"), F.sum("id").alias("a.b"))
+    before, was = shuffled(), spark.conf.get(setting, None)
+    cut = cut_lineage(df)  # df stays in use, so that collecting garbage would not delete its files
+    deadline = time.time() + 20
+    while (left := shuffled() - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(setting, None) == was
+    for x in (cut, cut, df):
+        assert {tuple(r) for r in x.collect()} == {(k, 10, 10 * k + 45_000) for k in range(1000)}
